@@ -41,14 +41,14 @@ def features(tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig()
     weekly = weekly_features(tables, cfg, stage=sinks.checkpointed)
     path = f"{output_dir}/{WEEKLY}"
     sinks.write_table(weekly, path)
-    return read_parquet(tables.users.sparkSession, path)
+    return read_parquet(tables.spark, path)
 
 
 def dataset(
     tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig(), split_cfg: SplitConfig = SplitConfig()
 ) -> DataFrame:
     """Write both dataset forms, one folder per split, and return the split report."""
-    spark = tables.users.sparkSession
+    spark = tables.spark
     weekly = read_parquet(spark, f"{output_dir}/{WEEKLY}")
     built = build_datasets(
         weekly,
@@ -67,7 +67,7 @@ def dataset(
 
 def validate(tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig()) -> DataFrame:
     """Run the quality checks over the written tables."""
-    spark = tables.users.sparkSession
+    spark = tables.spark
     weekly, flat, matrices, parts = (
         read_parquet(spark, f"{output_dir}/{name}") for name in (WEEKLY, FLAT, SEQUENCE, SPLIT)
     )

@@ -6,6 +6,8 @@ The event table covers 30 days, so the analysis runs on periods of 3 days.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +16,25 @@ from ebbtide.sources.tables import Tables, read_parquet
 
 TEST_WINDOWS = WindowConfig(period_days=3)
 
+# Schemas of the source files.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
 # Spread of the order dates over days from the start of the data.
 DATE_SPREAD = 90
 
 
+def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet", schema=SCHEMAS[name])
+
+
 def _choose(col: Column, mapping: dict[str, str], default: str) -> Column:
     picked = F.lit(default)
     for value, label in mapping.items():
@@ -35,9 +52,9 @@ def _order_day(day: str) -> Column:
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = read_parquet(spark, f"{sf_dir}/customer.parquet")
-    nation = read_parquet(spark, f"{sf_dir}/nation.parquet")
-    region = read_parquet(spark, f"{sf_dir}/region.parquet")
+    customer = _source(spark, sf_dir, "customer")
+    nation = _source(spark, sf_dir, "nation")
+    region = _source(spark, sf_dir, "region")
     key = F.col("c_custkey")
     return (
         customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -65,7 +82,7 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     played = F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), F.round(F.col("value") * 60, 6).cast("decimal(18,6)")
     )
-    return read_parquet(spark, f"{sf_dir}/events.parquet").select(
+    return _source(spark, sf_dir, "events").select(
         F.col("event_id").alias("session_id"),
         (F.col("user_id") * 10 + F.col("event_id") % 10).alias("user_id"),
         # The stride leaves some ids without a catalogue row.
@@ -89,7 +106,7 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size")
-    return read_parquet(spark, f"{sf_dir}/part.parquet").select(
+    return _source(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("game_id"),
         F.col("p_name").alias("game_title"),
         F.col("p_type").alias("genre"),
@@ -99,7 +116,7 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/orders.parquet").select(
+    return _source(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("payment_id"),
         F.col("o_custkey").alias("user_id"),
         _order_day("o_orderdate").alias("payment_date"),
@@ -112,7 +129,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sub_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/orders.parquet").select(
+    return _source(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("event_id"),
         F.col("o_custkey").alias("user_id"),
         _order_day("o_orderdate").alias("event_date"),
@@ -125,10 +142,5 @@ def sub_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(
-        users=users(spark, sf_dir),
-        sessions=sessions(spark, sf_dir),
-        games=games(spark, sf_dir),
-        sub_events=sub_events(spark, sf_dir),
-        payments=payments(spark, sf_dir),
-    )
+    makers = {"users": users, "sessions": sessions, "games": games, "sub_events": sub_events, "payments": payments}
+    return Tables(spark, {name: partial(make, spark, sf_dir) for name, make in makers.items()})
