@@ -76,7 +76,10 @@ class Query:
     steps: tuple[str, ...] = ()
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = self.build(Inputs(spark, sf_dir))
+        return self.on(Inputs(spark, sf_dir))
+
+    def on(self, inputs: Inputs) -> DataFrame:
+        df = self.build(inputs)
         cells = []
         for name, kind in self._columns():
             c = F.col(name)
