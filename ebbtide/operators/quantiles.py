@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,8 +53,13 @@ def exact_quantiles(df: DataFrame, by: list[str], columns: list[str], probs: lis
     upto = (
         Window.partitionBy(*group, "bin", "prob").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     )
+    # Null-safe keys keep a null group and, unlike plain ones, add no filter to one of
+    # the two uses of ``counts``, so both read the same shuffles.
+    keys = [*group, "bin"]
+    wanted = targets.select(*[F.col(c).alias(f"wanted_{c}") for c in keys], "prob", "rank")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"wanted_{c}")) for c in keys])
     return (
-        counts.join(targets, [*group, "bin"])
+        counts.join(wanted, same)
         .withColumn("upto", F.sum("n").over(upto))
         .filter("upto >= rank")
         .groupBy(*group, F.col("prob").cast("double").alias("p"))
