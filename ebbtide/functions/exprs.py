@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Exit types that end a session early, tiers by price.
 ABNORMAL_EXITS = ("crash", "disconnect", "timeout")
 TIER_ORDER = ("free", "priority", "ultimate")
 

@@ -385,6 +385,7 @@ def churn_rate_limits(labels: DataFrame, users: DataFrame) -> DataFrame:
     return _verdict(sums, "churn_rate_limits", F.col("n"), F.col("bad"))
 
 
+# Columns that should tell churners apart.
 SIGNAL_COLUMNS = (
     "weekly_session_count",
     "weekly_session_count_last",

@@ -19,12 +19,12 @@ def _bin(value: Column) -> Column:
     return F.when(value < 0, -magnitude).otherwise(magnitude)
 
 
-def exact_quantiles(df: DataFrame, by: list[str], columns: list[str], probs: list[str]) -> DataFrame:
-    """Rows ``(*by, metric, p, value)``: smallest value with cume_dist >= p.
+def _candidates(df: DataFrame, by: list[str], columns: list[str], probs: list[str]) -> DataFrame:
+    """Rows ``(*by, metric, prob, value)``; the quantile is the smallest value of each group.
 
-    ``probs`` are decimal literals such as ``"0.95"``. Values are first counted
-    (equal values merge on the map side), then the counts of coarse bins locate
-    the one bin that holds each quantile, and only that bin is ordered.
+    Values are first counted (equal values merge on the map side), then the counts
+    of coarse bins locate the one bin that holds each quantile, and only that bin is
+    ordered. ``probs`` are decimal literals such as ``"0.95"``.
     """
     counts = (
         df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
@@ -48,32 +48,33 @@ def exact_quantiles(df: DataFrame, by: list[str], columns: list[str], probs: lis
         bins.withColumn("prob", F.explode(prob))
         .withColumn("rank", rank - F.col("before"))
         .filter("rank between 1 and in_bin")
-        .select(*group, "bin", "prob", "rank")
-    )
-    upto = (
-        Window.partitionBy(*group, "bin", "prob").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     )
     # Null-safe keys keep a null group and, unlike plain ones, add no filter to one of
-    # the two uses of ``counts``, so both read the same shuffles.
+    # the two uses of ``counts``, so both read the same shuffle of the input.
     keys = [*group, "bin"]
     wanted = targets.select(*[F.col(c).alias(f"wanted_{c}") for c in keys], "prob", "rank")
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"wanted_{c}")) for c in keys])
+    upto = Window.partitionBy(*keys, "prob").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     return (
         counts.join(wanted, same)
         .withColumn("upto", F.sum("n").over(upto))
         .filter("upto >= rank")
-        .groupBy(*group, F.col("prob").cast("double").alias("p"))
-        .agg(F.min("value").alias("value"))
+        .select(*group, F.col("prob").cast("double").alias("prob"), "value")
     )
 
 
+def exact_quantiles(df: DataFrame, by: list[str], columns: list[str], probs: list[str]) -> DataFrame:
+    """Rows ``(*by, metric, p, value)``: smallest value with cume_dist >= p."""
+    found = _candidates(df, by, columns, probs)
+    return found.groupBy(*by, "metric", F.col("prob").alias("p")).agg(F.min("value").alias("value"))
+
+
 def quantile_columns(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, str]]) -> DataFrame:
     """Quantiles as columns: output name -> (column, probability)."""
     columns = list(dict.fromkeys(c for c, _ in wanted.values()))
     probs = list(dict.fromkeys(p for _, p in wanted.values()))
-    found = exact_quantiles(df, by, columns, probs)
     cells = [
-        F.max(F.when((F.col("metric") == c) & (F.col("p") == float(p)), F.col("value"))).alias(out)
+        F.min(F.when((F.col("metric") == c) & (F.col("prob") == float(p)), F.col("value"))).alias(out)
         for out, (c, p) in wanted.items()
     ]
-    return found.groupBy(*by).agg(*cells)
+    return _candidates(df, by, columns, probs).groupBy(*by).agg(*cells)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,16 +12,13 @@ from ebbtide.config import WindowConfig
 from ebbtide.functions import exprs as X
 from ebbtide.schema import KEYS, QUALITY_MEANS
 
-DAY_KEYS = (*KEYS, "date")
-
-
-def daily_profile(obs: DataFrame) -> DataFrame:
-    """Sums per user and day, the finest grain the weekly features need.
+def _weekly_sums(obs: DataFrame, cfg: WindowConfig) -> DataFrame:
+    """Sums per user and week, with the playtime of each day of the week in its own column.
 
-    Only sums and counts are kept, so they combine on the map side (a user with
-    very many sessions leaves each map task as a few rows) and add up again to
-    weeks.
+    Only sums and counts are kept, so they combine on the map side: a user with
+    very many sessions leaves each map task as a few rows.
     """
+    day = F.pmod(X.days_from(cfg.obs_start, "date"), F.lit(cfg.period_days))
     sums: list[Column] = [
         F.count(F.lit(1)).alias("n_rows"),
         F.count("session_id").alias("n_sessions"),
@@ -28,49 +28,35 @@ def daily_profile(obs: DataFrame) -> DataFrame:
         F.count_if(X.is_peak_hour("start_time")).alias("n_peak"),
         F.count_if(X.is_weekend("start_time")).alias("n_weekend"),
         F.count_if(X.is_abnormal_exit("exit_type")).alias("n_abnormal"),
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), "day")).alias("active_days"),
+        *[F.sum(F.when(F.col("day") == d, F.col("duration_s"))).alias(f"seconds_{d}") for d in range(cfg.period_days)],
+        *[F.avg(source).alias(feature) for feature, source in QUALITY_MEANS.items()],
     ]
-    for feature, source in QUALITY_MEANS.items():
-        sums += [F.sum(source).alias(f"{feature}_sum"), F.count(source).alias(f"{feature}_n")]
-    return obs.groupBy(*DAY_KEYS).agg(*sums)
+    return obs.withColumn("day", day).groupBy(*KEYS).agg(*sums)
 
 
 def session_profile(obs: DataFrame, cfg: WindowConfig) -> DataFrame:
-    """All weekly features that follow from sums over a user's days.
+    """All weekly features that follow from sums over a user's sessions and days.
 
     Output: session counts and ratios, quality means, day and session
     volatility, and ``active_days``, a bit per day of the week with a session.
+    One scan and one shuffle.
     """
-    day_bit = F.call_function(
-        "shiftleft",
-        F.lit(1).cast("long"),
-        F.pmod(X.days_from(cfg.obs_start, "date"), F.lit(cfg.period_days)).cast("int"),
-    )
-    merged = [
-        "n_rows", "n_sessions", "n_timed", "seconds", "seconds_sq", "n_peak", "n_weekend", "n_abnormal",
-        *[f"{f}_{part}" for f in QUALITY_MEANS for part in ("sum", "n")],
-    ]
-    weekly = (
-        daily_profile(obs)
-        .groupBy(*KEYS)
-        .agg(
-            *[F.sum(c).alias(c) for c in merged],
-            F.sum(X.square("seconds")).alias("daily_sq"),
-            F.bit_or(day_bit).alias("active_days"),
-        )
-    )
     # Days without a session count as 0, hence n = days of the period.
-    daily_std = X.sample_std(F.lit(cfg.period_days), F.coalesce("seconds", F.lit(0)), F.coalesce("daily_sq", F.lit(0)))
-    return weekly.select(
+    days = [F.coalesce(F.col(f"seconds_{d}"), F.lit(0)) for d in range(cfg.period_days)]
+    total = reduce(add, days)
+    daily_std = X.sample_std(F.lit(cfg.period_days), total, reduce(add, map(X.square, days)))
+    return _weekly_sums(obs, cfg).select(
         *KEYS,
         F.col("n_sessions").alias("weekly_session_count"),
         (X.safe_ratio("seconds", "n_timed") / 60).alias("avg_session_duration_min"),
         (F.col("seconds") / F.lit(60.0)).alias("total_playtime_min"),
         X.share("n_peak", "n_rows").alias("peak_hour_ratio"),
         X.share("n_weekend", "n_rows").alias("weekend_ratio"),
-        *[X.safe_ratio(f"{f}_sum", f"{f}_n").alias(f) for f in QUALITY_MEANS],
+        *QUALITY_MEANS,
         X.share("n_abnormal", "n_rows").alias("crash_exit_ratio"),
         (daily_std / 60).alias("daily_playtime_std"),
-        X.safe_ratio(daily_std, F.col("seconds") / F.lit(cfg.period_days)).alias("daily_playtime_cv"),
+        X.safe_ratio(daily_std, total / F.lit(cfg.period_days)).alias("daily_playtime_cv"),
         (X.sample_std("n_timed", "seconds", "seconds_sq") / 60).alias("session_duration_std"),
         "active_days",
     )
@@ -85,4 +71,4 @@ def weekly_totals(obs: DataFrame) -> DataFrame:
 
 
 def daily_playtime(obs: DataFrame) -> DataFrame:
-    return obs.groupBy(*DAY_KEYS).agg((F.sum("duration_s") / F.lit(60.0)).alias("daily_playtime_min"))
+    return obs.groupBy(*KEYS, "date").agg((F.sum("duration_s") / F.lit(60.0)).alias("daily_playtime_min"))

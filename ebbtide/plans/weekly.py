@@ -53,8 +53,9 @@ def weekly_features(
     zero = [f.name for f in schema.FEATURES if f.section != "payments" and f.when_absent == 0]
     dense = dense.fillna(0, subset=[c for c in zero if c in dense.columns])
 
-    dense = engagement.wow_change(dense)
+    # In this order the windows of both steps merge into one.
     dense = engagement.longest_inactive_days(dense, cfg)
+    dense = engagement.wow_change(dense)
     dense = engagement.baseline_ratios(dense, engagement.user_baseline(tables.sessions, cfg))
 
     per_user = payments.payment_features(tables.users, tables.sub_events, tables.payments, cfg)

@@ -165,7 +165,7 @@ def _features() -> list[Query]:
         Query(
             "engagement_features", _weekly_subset("engagement"),
             lambda q: engagement.baseline_ratios(
-                engagement.longest_inactive_days(engagement.wow_change(_dense(q)), CFG),
+                engagement.wow_change(engagement.longest_inactive_days(_dense(q), CFG)),
                 engagement.user_baseline(q.tables.sessions, CFG),
             ),
             _from("engagement"), ("engagement",),

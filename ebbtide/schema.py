@@ -93,7 +93,7 @@ FEATURES: list[Feature] = [
     ),
 ]
 
-# Mean of a session column per user-week: feature <- source column.
+# Mean of a session column per user-week, feature <- source column.
 QUALITY_MEANS = {
     "avg_latency": "avg_latency_ms",
     "avg_fps": "avg_fps",
