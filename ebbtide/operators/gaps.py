@@ -6,59 +6,74 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions import exprs as X
+from ebbtide.operators.sessions import weekly_totals
 from ebbtide.schema import KEYS
 
-# Length of the time slice that one task orders. A week has 10,080 of them, so
-# even a user who holds a large share of all sessions is spread over many tasks.
+# A user-week with more sessions than this is ordered in time slices. At most one
+# in BUSY sessions can open such a user-week, which bounds the list of them.
+BUSY = 1_000_000
 SLICE_SECONDS = 60
 
 
-def inter_session_gaps(obs: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+def inter_session_gaps(
+    obs: DataFrame, totals: DataFrame | None = None, busy: int = BUSY, slice_seconds: int = SLICE_SECONDS
+) -> DataFrame:
     """Seconds from the end of a session to the start of the next in the week.
 
     Sessions are ordered by start time, ties by session id. The gap is negative
     where sessions overlap and null for the first session of a week.
 
-    Ordering a whole user-week in one task would put a hot user into that task,
-    so sessions are ordered inside short time slices, and the first session of a
-    slice takes its predecessor from the last session of the slice before. One
-    shuffle by (user, week, slice) serves both steps.
+    Ordering a busy user-week in one task would put all its sessions there. Such
+    user-weeks are split into short time slices that are ordered apart; the first
+    session of a slice takes its predecessor from the last session of the slice
+    before. ``totals`` are the session counts per user-week if they exist already.
     """
-    slots = obs.select(
-        *KEYS,
-        "session_id",
-        "start_time",
-        "end_time",
-        F.floor(F.unix_timestamp("start_time") / slice_seconds).alias("slice"),
-    ).repartition(*KEYS, "slice")
+    totals = weekly_totals(obs) if totals is None else totals
+    # Not more rows than all sessions divided by ``busy``.
+    hot = F.broadcast(
+        totals.filter(F.col("weekly_session_count") > busy).select(*KEYS, F.lit(True).alias("is_busy"))
+    )
+    columns = [*KEYS, "session_id", "start_time", "end_time"]
+    slot = F.floor(F.unix_timestamp("start_time") / slice_seconds)
 
     in_slice = Window.partitionBy(*KEYS, "slice").orderBy("start_time", "session_id")
-    inner = (
-        slots.withColumn("nth", F.row_number().over(in_slice))
+    ordered = (
+        obs.select(*columns)
+        .join(hot, list(KEYS), "left")
+        .withColumn("slice", F.when(F.col("is_busy"), slot).otherwise(F.lit(0)))
         .withColumn("prev_end", F.lag("end_time").over(in_slice))
-        .filter("nth > 1")
-        .select(*KEYS, "session_id", "start_time", "prev_end")
+        .withColumn("follows", F.lag(F.lit(True)).over(in_slice))
+        .filter(F.col("is_busy").isNull() | F.col("follows"))
     )
 
-    edges = slots.groupBy(*KEYS, "slice").agg(
-        F.min(F.struct("start_time", "session_id")).alias("head"),
-        F.max(F.struct("start_time", "session_id", "end_time")).alias("tail"),
+    edges = (
+        obs.select(*columns)
+        .join(hot, list(KEYS))
+        .groupBy(*KEYS, slot.alias("slice"))
+        .agg(
+            F.min(F.struct("start_time", "session_id")).alias("head"),
+            F.max(F.struct("start_time", "session_id", "end_time")).alias("tail"),
+        )
     )
     across = Window.partitionBy(*KEYS).orderBy("slice")
-    outer = edges.select(
+    heads = edges.select(
         *KEYS,
         F.col("head.session_id").alias("session_id"),
         F.col("head.start_time").alias("start_time"),
         F.lag("tail.end_time").over(across).alias("prev_end"),
     )
-    return inner.unionByName(outer).select(
-        *KEYS, "session_id", X.seconds_between("prev_end", "start_time").alias("gap_s")
+    return (
+        ordered.select(*KEYS, "session_id", "start_time", "prev_end")
+        .unionByName(heads)
+        .select(*KEYS, "session_id", X.seconds_between("prev_end", "start_time").alias("gap_s"))
     )
 
 
-def session_regularity(obs: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+def session_regularity(
+    obs: DataFrame, totals: DataFrame | None = None, busy: int = BUSY, slice_seconds: int = SLICE_SECONDS
+) -> DataFrame:
     """Standard deviation of the gaps per user-week, 0 below two gaps."""
-    gaps = inter_session_gaps(obs, slice_seconds)
+    gaps = inter_session_gaps(obs, totals, busy, slice_seconds)
     sums = gaps.groupBy(*KEYS).agg(
         F.count("gap_s").alias("n"), F.sum("gap_s").alias("total"), F.sum(X.square("gap_s")).alias("squares")
     )

@@ -30,7 +30,7 @@ def active_weeks(tables: Tables, cfg: WindowConfig, stage: Stage | None = None)
         totals = profile
     else:
         totals = session_ops.weekly_totals(obs)
-    joined = profile.join(gaps.session_regularity(obs), list(KEYS), "left").join(
+    joined = profile.join(gaps.session_regularity(obs, totals), list(KEYS), "left").join(
         diversity.game_profile(obs, tables.games, cfg), list(KEYS), "left"
     )
     return norm.population_norm(joined, norm.population_medians(totals))

@@ -67,7 +67,7 @@ class Inputs:
 @dataclass(frozen=True)
 class Query:
     """``columns`` names the output: ``c`` as is, ``c:d`` a double to round, ``c:m`` a
-    sum of money, ``c:i`` a long, ``c:s`` a date as text."""
+    sum of money, ``c:i`` a long, ``c:s`` a date or timestamp as text."""
 
     name: str
     columns: str

@@ -37,7 +37,7 @@ def _raw() -> list[Query]:
     return [
         Query(
             "scan_sessions",
-            "session_id user_id game_id start_time end_time avg_latency_ms:d avg_fps:d total_frame_drops "
+            "session_id user_id game_id start_time:s end_time:s avg_latency_ms:d avg_fps:d total_frame_drops "
             "disconnect_count avg_bitrate_mbps:d avg_jitter_ms:d packet_loss_rate:d exit_type",
             lambda q: q.tables.sessions,
             _from("sessions"),
@@ -45,7 +45,7 @@ def _raw() -> list[Query]:
         ),
         Query(
             "scan_pruned",
-            "user_id start_time",
+            "user_id start_time:s",
             lambda q: q.tables.sessions.select("user_id", "start_time"),
             "SELECT user_id, start_time FROM sessions",
             ("sessions",),
@@ -60,7 +60,7 @@ def _raw() -> list[Query]:
               lambda q: q.tables.sub_events, _from("sub_events"), ("sub_events",)),
         Query(
             "filter_obs_window",
-            "session_id user_id start_time",
+            "session_id user_id start_time:s",
             lambda q: q.tables.sessions.filter(X.ts_within("start_time", CFG.observation)),
             f"SELECT * FROM sessions WHERE CAST(start_time AS DATE) >= DATE '{first}' "
             f"AND CAST(start_time AS DATE) < DATE '{last}'",
@@ -601,7 +601,7 @@ def _profiles() -> list[Query]:
         Query("signups_by_month", "signup_month:i n:i", lambda q: profile.signups_by_month(q.tables.users),
               "SELECT month(signup_date) AS signup_month, count(*) AS n FROM users GROUP BY 1", ("users",)),
         Query(
-            "session_totals", "earliest latest total_sessions:i unique_users:i unique_games:i",
+            "session_totals", "earliest:s latest:s total_sessions:i unique_users:i unique_games:i",
             lambda q: profile.session_totals(q.tables.sessions),
             "SELECT min(start_time) AS earliest, max(start_time) AS latest, count(session_id) AS total_sessions, "
             "count(DISTINCT user_id) AS unique_users, count(DISTINCT game_id) AS unique_games FROM sessions", ("sessions",),

@@ -58,10 +58,11 @@ def naive_gaps(rows):
     return result
 
 
+@pytest.mark.parametrize("busy", [0, 30, 10**6])
 @pytest.mark.parametrize("slice_seconds", [60, 3600, 10**9])
-def test_sliced_gaps_equal_one_ordering(obs, rows, slice_seconds):
+def test_sliced_gaps_equal_one_ordering(obs, rows, busy, slice_seconds):
     got = defaultdict(list)
-    for r in gaps.inter_session_gaps(obs, slice_seconds).collect():
+    for r in gaps.inter_session_gaps(obs, busy=busy, slice_seconds=slice_seconds).collect():
         got[r["user_id"], r["week_num"]].append(r["gap_s"])
     expected = naive_gaps(rows)
     assert set(got) == set(expected)
@@ -70,9 +71,10 @@ def test_sliced_gaps_equal_one_ordering(obs, rows, slice_seconds):
         assert got[key].count(None) == 1
 
 
-def test_regularity(obs, rows):
+@pytest.mark.parametrize("busy", [50, 10**6])
+def test_regularity(obs, rows, busy):
     expected = naive_gaps(rows)
-    for r in gaps.session_regularity(obs).collect():
+    for r in gaps.session_regularity(obs, busy=busy).collect():
         values = [g / 60 for g in expected[r["user_id"], r["week_num"]]]
         want = statistics.stdev(values) if len(values) > 1 else 0.0
         assert r["session_regularity"] == pytest.approx(want, abs=1e-7)
