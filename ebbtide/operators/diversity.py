@@ -18,26 +18,18 @@ def game_weeks(obs: DataFrame, cfg: WindowConfig) -> DataFrame:
     is needed. Sessions collapse on the map side before the shuffle.
     """
     weeks = range(1, cfg.obs_periods + 1)
-    in_week = {w: F.col("week_num") == w for w in weeks}
     wide = obs.groupBy("user_id", "game_id").agg(
         F.min("week_num").alias("first_week"),
-        *[F.count_if(in_week[w]).alias(f"rows_{w}") for w in weeks],
-        *[F.count(F.when(in_week[w], F.col("session_id"))).alias(f"sessions_{w}") for w in weeks],
-        *[F.sum(F.when(in_week[w], F.col("duration_s"))).alias(f"seconds_{w}") for w in weeks],
-    )
-    cells = F.array(
         *[
-            F.struct(
-                F.lit(w).alias("week_num"),
-                F.col(f"rows_{w}").alias("n_rows"),
-                F.col(f"sessions_{w}").alias("game_sessions"),
-                F.col(f"seconds_{w}").alias("game_seconds"),
-            )
+            F.expr(f"{total} filter (where week_num = {w}) as {name}_{w}")
             for w in weeks
-        ]
+            for name, total in (("rows", "count(*)"), ("sessions", "count(session_id)"), ("seconds", "sum(duration_s)"))
+        ],
     )
+    cells = ", ".join(f"{w}, rows_{w}, sessions_{w}, seconds_{w}" for w in weeks)
+    by_week = f"stack({cfg.obs_periods}, {cells}) as (week_num, n_rows, game_sessions, game_seconds)"
     return (
-        wide.select("user_id", "game_id", "first_week", F.inline(cells))
+        wide.selectExpr("user_id", "game_id", "first_week", by_week)
         .filter("n_rows > 0")
         .withColumn("is_new", F.col("first_week") == F.col("week_num"))
         .drop("n_rows", "first_week")

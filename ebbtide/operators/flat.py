@@ -10,20 +10,20 @@ from ebbtide.schema import flat_names
 
 
 def mean_columns() -> list[Column]:
-    return [F.avg(c).alias(c) for c in flat_names("mean")]
+    return [F.expr(f"avg({c}) as {c}") for c in flat_names("mean")]
 
 
 def last_columns(cfg: WindowConfig) -> list[Column]:
     """Value in the last week; the engagement and trial columns come first."""
-    latest = F.col("week_num") == cfg.obs_periods
     also_mean = set(flat_names("mean"))
     ordered = sorted(flat_names("last"), key=lambda c: c in also_mean)
-    return [F.max(F.when(latest, F.col(c))).alias(f"{c}_last") for c in ordered]
+    latest = f"week_num = {cfg.obs_periods}"
+    return [F.expr(f"max({c}) filter (where {latest}) as {c}_last") for c in ordered]
 
 
 def static_columns() -> list[Column]:
     """Per-user values repeat on every week, so any aggregate of them will do."""
-    return [F.max(c).alias(c) for c in flat_names("static")]
+    return [F.expr(f"max({c}) as {c}") for c in flat_names("static")]
 
 
 def slope_column() -> Column:

@@ -59,7 +59,6 @@ def fill_missing_weeks(active: DataFrame, cfg: WindowConfig) -> DataFrame:
     values = [c for c in active.columns if c not in ("user_id", "week_num")]
     spread = active.withColumn("first", first).withColumn("last", last)
     spread = spread.withColumn("week", F.explode(F.sequence("first", "last")))
-    own = F.col("week") == F.col("week_num")
-    return spread.select(
-        "user_id", F.col("week").alias("week_num"), *[F.when(own, F.col(c)).alias(c) for c in values]
+    return spread.selectExpr(
+        "user_id", "week as week_num", *[f"case when week = week_num then {c} end as {c}" for c in values]
     )

@@ -10,7 +10,7 @@ from ebbtide import schema
 
 def sequence_filled(weekly: DataFrame) -> DataFrame:
     """Weekly features as doubles with every null replaced by its fill value."""
-    doubles = weekly.select(*schema.KEYS, *[F.col(c).cast("double").alias(c) for c in schema.names()])
+    doubles = weekly.selectExpr(*schema.KEYS, *[f"double({c}) as {c}" for c in schema.names()])
     return doubles.fillna({f.name: f.sequence_fill for f in schema.FEATURES})
 
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +26,8 @@ def _weekly_sums(obs: DataFrame, cfg: WindowConfig) -> DataFrame:
         F.count_if(X.is_weekend("start_time")).alias("n_weekend"),
         F.count_if(X.is_abnormal_exit("exit_type")).alias("n_abnormal"),
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), "day")).alias("active_days"),
-        *[F.sum(F.when(F.col("day") == d, F.col("duration_s"))).alias(f"seconds_{d}") for d in range(cfg.period_days)],
-        *[F.avg(source).alias(feature) for feature, source in QUALITY_MEANS.items()],
+        *[F.expr(f"sum(duration_s) filter (where day = {d}) as seconds_{d}") for d in range(cfg.period_days)],
+        *[F.expr(f"avg({source}) as {feature}") for feature, source in QUALITY_MEANS.items()],
     ]
     return obs.withColumn("day", day).groupBy(*KEYS).agg(*sums)
 
@@ -43,9 +40,10 @@ def session_profile(obs: DataFrame, cfg: WindowConfig) -> DataFrame:
     One scan and one shuffle.
     """
     # Days without a session count as 0, hence n = days of the period.
-    days = [F.coalesce(F.col(f"seconds_{d}"), F.lit(0)) for d in range(cfg.period_days)]
-    total = reduce(add, days)
-    daily_std = X.sample_std(F.lit(cfg.period_days), total, reduce(add, map(X.square, days)))
+    days = [f"coalesce(seconds_{d}, 0)" for d in range(cfg.period_days)]
+    total = F.expr(" + ".join(days))
+    squares = F.expr(" + ".join(f"pow({day}, 2)" for day in days))
+    daily_std = X.sample_std(F.lit(cfg.period_days), total, squares)
     return _weekly_sums(obs, cfg).select(
         *KEYS,
         F.col("n_sessions").alias("weekly_session_count"),

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ebbtide.operators import diversity, flat, labels, scaffold, sequence, split
 from ebbtide.plans.weekly import weekly_features
@@ -20,6 +19,7 @@ from ebbtide.sources.tables import Tables
 # decimal ties such as 0.0505625 from falling to either side.
 SCALE = {"d": 1e6, "m": 1e2}
 HALF = 0.501
+CASTS = {"i": "bigint", "s": "string"}
 
 
 class Inputs:
@@ -82,15 +82,12 @@ class Query:
         df = self.build(inputs)
         cells = []
         for name, kind in self._columns():
-            c = F.col(name)
             if kind in SCALE:
-                c = F.floor(c.cast("double") * SCALE[kind] + HALF) / SCALE[kind]
-            elif kind == "i":
-                c = c.cast("long")
-            elif kind == "s":
-                c = c.cast("string")
-            cells.append(c.alias(name))
-        return df.select(*cells)
+                scale = f"{SCALE[kind]:.0f}D"
+                cells.append(f"floor(double({name}) * {scale} + {HALF}D) / {scale} as {name}")
+            else:
+                cells.append(f"{CASTS[kind]}({name}) as {name}" if kind else name)
+        return df.selectExpr(*cells)
 
     def oracle(self) -> str | None:
         if self.sql is None:
