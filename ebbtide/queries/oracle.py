@@ -42,7 +42,7 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
 SELECT c_custkey AS user_id,
   DATE '2023-01-01' + CAST(c_custkey % 365 AS INTEGER) AS signup_date,
   ['free', 'priority', 'ultimate'][CAST(c_custkey % 3 AS INTEGER) + 1] AS subscription_tier,
-  ['PC', 'Mac', 'Chromebook', 'SHIELD', 'Mobile'][CAST(c_custkey % 5 AS INTEGER) + 1] AS device_type,
+  ['PC', 'Mac', 'Chromebook', 'TV', 'Mobile'][CAST(c_custkey % 5 AS INTEGER) + 1] AS device_type,
   r_name AS region,
   ['organic', 'ad', 'friend_referral', 'bundled'][CAST(n_nationkey % 4 AS INTEGER) + 1] AS referral_source,
   ['18-24', '25-34', '35-44', '45+'][CAST((c_custkey // 3) % 4 AS INTEGER) + 1] AS age_group,

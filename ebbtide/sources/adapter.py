@@ -63,7 +63,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
             key.alias("user_id"),
             F.date_add(F.lit("2023-01-01").cast("date"), (key % 365).cast("int")).alias("signup_date"),
             _pick(key, ["free", "priority", "ultimate"]).alias("subscription_tier"),
-            _pick(key, ["PC", "Mac", "Chromebook", "SHIELD", "Mobile"]).alias("device_type"),
+            _pick(key, ["PC", "Mac", "Chromebook", "TV", "Mobile"]).alias("device_type"),
             F.col("r_name").alias("region"),
             _pick(F.col("n_nationkey"), ["organic", "ad", "friend_referral", "bundled"]).alias("referral_source"),
             _pick(F.floor(key / 3), ["18-24", "25-34", "35-44", "45+"]).alias("age_group"),
