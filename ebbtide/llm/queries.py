@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import decontaminate
+from ebbtide.llm import bpe, decontaminate
 
 QUERIES = {
     "op4_decontamination": decontaminate.query,
+    "op9_byte_bpe": bpe.query,
 }
 
 SQL = {
