@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import bpe, decontaminate
+from ebbtide.llm import bpe, chat_format, decontaminate
 
 QUERIES = {
+    "op2_chat_format": chat_format.query,
     "op4_decontamination": decontaminate.query,
     "op9_byte_bpe": bpe.query,
 }
 
 SQL = {
+    "op2_chat_format": chat_format.sql(),
     "op4_decontamination": decontaminate.SQL,
 }
