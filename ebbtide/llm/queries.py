@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import bpe, chat_format, decontaminate
+from ebbtide.llm import bpe, chat_format, decontaminate, url_rules
 
 QUERIES = {
     "op2_chat_format": chat_format.query,
     "op4_decontamination": decontaminate.query,
+    "op6_url_rules": url_rules.query,
     "op9_byte_bpe": bpe.query,
 }
 
