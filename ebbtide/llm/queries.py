@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import bpe, chat_format, decontaminate, url_rules
+from ebbtide.llm import bpe, chat_format, decontaminate, ngram_join, url_rules
 
 QUERIES = {
     "op2_chat_format": chat_format.query,
     "op4_decontamination": decontaminate.query,
     "op6_url_rules": url_rules.query,
     "op9_byte_bpe": bpe.query,
+    "op10_ngram_join": ngram_join.query,
 }
 
 SQL = {
     "op2_chat_format": chat_format.sql(),
     "op4_decontamination": decontaminate.SQL,
+    "op10_ngram_join": ngram_join.SQL,
 }
