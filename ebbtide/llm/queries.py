@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import bpe, chat_format, decontaminate, ngram_join, url_rules
+from ebbtide.llm import bpe, chat_format, decontaminate, ngram_join, toxicity, url_rules
 
 QUERIES = {
     "op2_chat_format": chat_format.query,
+    "op3_toxicity": toxicity.query,
     "op4_decontamination": decontaminate.query,
     "op6_url_rules": url_rules.query,
     "op9_byte_bpe": bpe.query,
