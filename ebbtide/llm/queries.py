@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import bpe, chat_format, decontaminate, ngram_join, toxicity, url_rules
+from ebbtide.llm import bpe, chat_format, decontaminate, language_id, ngram_join, toxicity, url_rules
 
 QUERIES = {
+    "op1_language_id": language_id.query,
     "op2_chat_format": chat_format.query,
     "op3_toxicity": toxicity.query,
     "op4_decontamination": decontaminate.query,
