@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import bpe, chat_format, decontaminate, language_id, ngram_join, toxicity, url_rules
+from ebbtide.llm import ann, bpe, chat_format, decontaminate, language_id, ngram_join, toxicity, url_rules
 
 QUERIES = {
     "op1_language_id": language_id.query,
     "op2_chat_format": chat_format.query,
     "op3_toxicity": toxicity.query,
     "op4_decontamination": decontaminate.query,
+    "op5_ann_pstable": ann.query,
     "op6_url_rules": url_rules.query,
     "op9_byte_bpe": bpe.query,
     "op10_ngram_join": ngram_join.query,
