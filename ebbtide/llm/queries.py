@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import ann, bpe, chat_format, decontaminate, language_id, ngram_join, toxicity, url_rules, warc
+from ebbtide.llm import ann, bpe, chat_format, decontaminate, language_id, license_scan, ngram_join, toxicity, url_rules, warc
 
 QUERIES = {
     "op1_language_id": language_id.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_decontamination": decontaminate.query,
     "op5_ann_pstable": ann.query,
     "op6_url_rules": url_rules.query,
+    "op7_license_scan": license_scan.query,
     "op8_warc": warc.query,
     "op9_byte_bpe": bpe.query,
     "op10_ngram_join": ngram_join.query,
