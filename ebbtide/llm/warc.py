@@ -211,13 +211,16 @@ def _member(stream: Stream, size: int):
 
     def more(n: int) -> bool:
         nonlocal raw, at
-        feed = inflate.unconsumed_tail
-        if not feed:
+        got = inflate.decompress(inflate.unconsumed_tail, n)  # what is left of earlier input
+        if not got and not inflate.eof:
             stream.at = at
             feed = stream.ahead(min(size, 1 << 16) if size else 1 << 16)[: 1 << 16]
+            if not feed:
+                return False
             at += len(feed)
-        raw += inflate.decompress(feed, n)
-        return bool(feed) and not inflate.eof
+            got = inflate.decompress(inflate.unconsumed_tail + feed, n)
+        raw += got
+        return not inflate.eof
 
     while b"\r\n\r\n" not in raw and more(4096):
         pass
@@ -234,7 +237,7 @@ def _member(stream: Stream, size: int):
     if not size:  # no length: the end must be found by inflating
         while not inflate.eof and more(1 << 16):
             pass
-        stream.at = at - len(inflate.unused_data) - len(inflate.unconsumed_tail)
+        stream.at = at - len(inflate.unused_data)
 
 
 def _plain(stream: Stream):
