@@ -12,14 +12,16 @@ them too before its whole sets are compared.
 Equal sets are one node, keyed by a digest of the set. A frequent token joins a large
 group of nodes, and the result needs components, not pairs; so no group is expanded:
 
-1. Every node of a token's group is compared with one of them, the group's centre.
-   The links give components.
+1. Every node of a token's group is compared with one of them, the group's centre: the
+   one with the fewest tokens before the shared one, so that among copies with changes
+   it is one with few changes. The links give components.
 2. Groups whose nodes are then all in one component are done: no further link could
    change the result. In the others, each node outside the group's largest component
    is compared with the nodes of other components. The links of both steps together
    give the components.
 
-So every link between different components is found, and the pairs left out are those
+A pair meets at a shared token only if the tokens that follow it in either are enough
+for a link. So every link between different components is found, and the pairs left out are those
 inside a component. Tokens of all documents are counted and grouped in buckets of the
 hash: tasks send packed arrays, in which a token has one entry a task, and a bucket holds
 a fixed number of tokens. Groups of frequent tokens travel as rows, spread by node, and
@@ -238,12 +240,13 @@ def _kinds(schema: T.StructType) -> list[pa.DataType]:
 
 
 def _index(docs: DataFrame, text: str, bits: int, held) -> DataFrame:
-    """Rows ``(token, node, n)`` of prefix tokens under the first order, of tokens in
-    the prefixes of two nodes at least; a node goes by the first half of its digest."""
-    sent = T.StructType.fromDDL("bucket int, token binary, node binary, n binary, listed boolean")
-    kept = T.StructType.fromDDL("token long, node long, n long")
+    """Rows ``(token, node, n, at)`` of prefix tokens under the first order with their
+    position, of tokens in the prefixes of two nodes at least; a node goes by the first
+    half of its digest."""
+    sent = T.StructType.fromDDL("bucket int, token binary, node binary, n binary, at binary, listed boolean")
+    kept = T.StructType.fromDDL("token long, node long, n long, at long")
     arrow = pa.schema([(f.name, k) for f, k in zip(sent, _kinds(sent), strict=True)])
-    names = ["token", "node", "n"]
+    names = ["token", "node", "n", "at"]
 
     def prefixes(batches):
         frequent = Frequent(*held.value)
@@ -252,9 +255,8 @@ def _index(docs: DataFrame, text: str, bits: int, held) -> DataFrame:
         def parcels():
             for listed, kept_rows in ((False, rare), (True, often)):
                 if kept_rows:
-                    token, node, n = (np.concatenate(x) for x in zip(*kept_rows, strict=True))
-                    by = _mixed(node.astype(np.uint64)) if listed else token
-                    cells = {"token": token, "node": node, "n": n}
+                    cells = dict(zip(names, map(np.concatenate, zip(*kept_rows, strict=True)), strict=True))
+                    by = _mixed(cells["node"].astype(np.uint64)) if listed else cells["token"]
                     for part in _parcels(bits, cells, by, names):
                         yield part | {"listed": listed}
 
@@ -267,11 +269,12 @@ def _index(docs: DataFrame, text: str, bits: int, held) -> DataFrame:
             seen.add(name)
             order, listed = frequent.order(mine)
             length = prefix_length(len(mine))
-            first = np.argpartition(order, length - 1)[:length] if length < len(mine) else np.arange(len(mine))
+            first = np.argsort(order)[:length]
             key = int.from_bytes(name[:8], "big", signed=True)
-            for to, chosen in ((rare, first[~listed[first]]), (often, first[listed[first]])):
-                if len(chosen):
-                    to.append((mine[chosen], np.full(len(chosen), key), np.full(len(chosen), len(mine), np.int32)))
+            for to, at in ((rare, np.flatnonzero(~listed[first])), (often, np.flatnonzero(listed[first]))):
+                if len(at):
+                    n = np.full(len(at), len(mine), np.int32)
+                    to.append((mine[first[at]], np.full(len(at), key), n, at.astype(np.int32)))
             size += length
             if size >= FLUSH:
                 yield pa.RecordBatch.from_pylist(list(parcels()), arrow)
@@ -284,16 +287,14 @@ def _index(docs: DataFrame, text: str, bits: int, held) -> DataFrame:
         for listed in (False, True):
             rows = group.filter(pc.equal(group.column("listed"), listed))
             token, node = _joined(rows, "token", np.uint64), _joined(rows, "node", np.int64)
-            n = _joined(rows, "n", np.int32).astype(np.int64)
-            at = np.lexsort((node, token))
-            token, node, n = token[at], node[at], n[at]
-            new = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])])[: len(token)]
-            token, node, n = token[new], node[new], n[new]
-            if not listed and len(token):
-                same = token[1:] == token[:-1]
-                many = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-                token, node, n = token[many], node[many], n[many]
-            parts.append(pa.table({"token": token.view(np.int64), "node": node, "n": n}))
+            by = np.lexsort((node, token))
+            new = (token[by[1:]] != token[by[:-1]]) | (node[by[1:]] != node[by[:-1]])
+            by = by[np.concatenate([[True], new])[: len(by)]]
+            if not listed and len(by):
+                same = token[by[1:]] == token[by[:-1]]
+                by = by[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
+            n, at = (_joined(rows, c, np.int32).astype(np.int64)[by] for c in ("n", "at"))
+            parts.append(pa.table({"token": token[by].view(np.int64), "node": node[by], "n": n, "at": at}))
         return pa.concat_tables(parts)
 
     source = docs.select(F.col(text).cast("binary").alias("text"))
@@ -301,8 +302,17 @@ def _index(docs: DataFrame, text: str, bits: int, held) -> DataFrame:
 
 
 def _fits(a: str, b: str) -> Column:
-    """Sizes that allow a link."""
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+    """Sizes that allow a link, if the shared token is the first that both have: then no
+    more tokens are common than follow it in either. A linked pair passes at its first."""
+    n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
+    most = F.least(n_a - F.col(f"at_{a}"), n_b - F.col(f"at_{b}"))
+    enough = (100 + PERCENT) * most >= PERCENT * (n_a + n_b)
+    return enough & (100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b))
+
+
+def _as(side: str, *columns: str) -> list[Column]:
+    """``node`` under the name of a side of a pair, other columns with it as a suffix."""
+    return [F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]]
 
 
 def _pairs(df: DataFrame) -> DataFrame:
@@ -385,11 +395,10 @@ def clusters(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     held = spark.sparkContext.broadcast((bits, *listed))
     index = staged(_index(docs, text, bits, held), "index")
 
-    centre = index.groupBy("token").agg(F.min(F.struct("node", "n")).alias("centre"))
-    centred = index.join(centre, "token").select(
-        F.col("centre.node").alias("a"), F.col("node").alias("b"), F.col("centre.n").alias("n_a"), F.col("n").alias("n_b")
-    )
-    stars = staged(_pairs(centred.where((F.col("a") != F.col("b")) & _fits("n_a", "n_b"))), "stars")
+    centre = index.groupBy("token").agg(F.min(F.struct("at", "node", "n")).alias("centre"))
+    centre = centre.select("token", "centre.*").select("token", *_as("a", "n", "at"))
+    centred = index.select("token", *_as("b", "n", "at")).join(centre, "token")
+    stars = staged(_pairs(centred.where((F.col("a") != F.col("b")) & _fits("a", "b"))), "stars")
     links = staged(_links(_with_texts(docs, text, nodes, stars), stars), "links")
     found = components(links)
 
@@ -411,7 +420,7 @@ def _key(node: str) -> Column:
 def _open_pairs(index: DataFrame, found: DataFrame, tested: DataFrame) -> DataFrame:
     """Untested pairs of nodes that share a token and lie in different components."""
     roots = found.select(_key("node").alias("node"), _key("root").alias("root")).groupBy("node").agg(F.min("root").alias("root"))
-    placed = index.join(roots, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
+    placed = index.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = (
         placed.groupBy("token", "root")
         .agg(F.count("*").alias("members"))
@@ -421,12 +430,12 @@ def _open_pairs(index: DataFrame, found: DataFrame, tested: DataFrame) -> DataFr
         .select("token", "main")
     )
     inside = staged(placed.join(groups, "token"), "open")
-    out = inside.where("root != main").select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    other = inside.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), "main")
+    out = inside.where("root != main").select("token", *_as("a", "n", "at", "root"))
+    other = inside.select("token", *_as("b", "n", "at", "root"), "main")
     met = out.join(other, "token").where(
         (F.col("root_a") != F.col("root_b"))
         & ((F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b")))
-        & _fits("n_a", "n_b")
+        & _fits("a", "b")
     )
     return _pairs(met).join(tested, ["a", "b"], "left_anti")
 
