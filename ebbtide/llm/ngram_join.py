@@ -55,8 +55,8 @@ PERCENT = 75
 FREQUENT = 1 << 18  # most tokens in the broadcast list of frequent ones
 LEAST_DF = 8  # documents a token must be in to be listed
 BUCKET_TOKENS = 1 << 18
-FLUSH = 1 << 22
-WORDS_KEPT = 1 << 20
+FLUSH = 1 << 21
+WORDS_KEPT = 1 << 18
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ORDERS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
