@@ -80,28 +80,25 @@ def null_inventory(df: DataFrame) -> DataFrame:
 
 
 def _row_checks() -> dict[str, tuple[Column, Column]]:
-    """Checks of single rows of the weekly table: name -> (checked, violations)."""
+    """Checks of single rows of the weekly table: name -> (checked, violations) of a row."""
     first = F.col("week_num") == 1
     changed = F.col("session_count_wow_change").isNotNull() | F.col("playtime_wow_change").isNotNull()
     empty = F.col("weekly_session_count") == 0
 
+    def one(holds: Column) -> Column:
+        return F.coalesce(holds.cast("int"), F.lit(0))
+
     def values(columns) -> Column:
-        return _total([F.count(c) for c in columns])
+        return _total([one(F.col(c).isNotNull()) for c in columns])
 
     def rows(columns, wrong) -> Column:
-        return _total([F.count_if(wrong(F.col(c))) for c in columns])
+        return _total([one(wrong(F.col(c))) for c in columns])
 
     return {
-        "never_null": (
-            F.count(F.lit(1)) * len(schema.NEVER_NULL),
-            rows(schema.NEVER_NULL, lambda c: c.isNull()),
-        ),
-        "wow_first_week": (F.count_if(first), F.count_if(first & changed)),
+        "never_null": (F.lit(len(schema.NEVER_NULL)), rows(schema.NEVER_NULL, lambda c: c.isNull())),
+        "wow_first_week": (one(first), one(first & changed)),
         # Quality and game features are null in exactly the weeks without sessions.
-        "nulls_match_zero_weeks": (
-            F.count_if(empty),
-            rows(schema.NULL_IN_ZERO_WEEKS, lambda c: c.isNull() != empty),
-        ),
+        "nulls_match_zero_weeks": (one(empty), rows(schema.NULL_IN_ZERO_WEEKS, lambda c: c.isNull() != empty)),
         "bounded": (values(schema.UNIT_INTERVAL), rows(schema.UNIT_INTERVAL, lambda c: ~c.between(0, 1))),
         "non_negative": (values(schema.NON_NEGATIVE), rows(schema.NON_NEGATIVE, lambda c: c < 0)),
     }
@@ -110,12 +107,63 @@ def _row_checks() -> dict[str, tuple[Column, Column]]:
 def weekly_rows(weekly: DataFrame, *only: str) -> DataFrame:
     """Row checks of the weekly table, all of them (or ``only`` some) in one pass."""
     checks = {name: c for name, c in _row_checks().items() if not only or name in only}
-    sums = [c.alias(f"{name}_{part}") for name, pair in checks.items() for part, c in zip(("n", "bad"), pair)]
+    sums = [F.sum(c).alias(f"{name}_{part}") for name, pair in checks.items() for part, c in zip(("n", "bad"), pair)]
+    return _verdicts(weekly.agg(*sums), list(checks))
+
+
+def _verdicts(sums: DataFrame, names: list[str]) -> DataFrame:
+    """Verdicts from one row with columns ``<name>_n`` and ``<name>_bad``."""
     cells = [
         F.struct(F.lit(name).alias("name"), F.col(f"{name}_n").alias("n"), F.col(f"{name}_bad").alias("bad"))
-        for name in checks
+        for name in names
     ]
-    return _verdict(weekly.agg(*sums).select(F.inline(F.array(*cells))), F.col("name"), F.col("n"), F.col("bad"))
+    return _verdict(sums.select(F.inline(F.array(*cells))), F.col("name"), F.col("n"), F.col("bad"))
+
+
+def weekly_structure(weekly: DataFrame, users: DataFrame, cfg: WindowConfig) -> DataFrame:
+    """Row count, key, weeks and all row checks from one pass over the weekly table.
+
+    The rows meet once, by user; keys, users and the table are counted on top of that.
+    """
+    checks = _row_checks()
+    sums = [f"{name}_{part}" for name in checks for part in ("n", "bad")]
+    marks = [c.alias(f"{name}_{part}") for name, pair in checks.items() for part, c in zip(("n", "bad"), pair)]
+    weeks = range(1, cfg.obs_periods + 1)
+    by_key = (
+        weekly.select(*KEYS, *marks)
+        .repartition("user_id")
+        .groupBy(*KEYS)
+        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums])
+    )
+    in_week = [F.sum(F.when(F.col("week_num") == w, F.col("n")).otherwise(0)).alias(f"week_{w}") for w in weeks]
+    by_user = by_key.groupBy("user_id").agg(
+        F.sum("n").alias("n"),
+        F.count_if(F.col("n") > 1).alias("repeated"),
+        F.count_if(~F.coalesce(F.col("week_num").between(1, cfg.obs_periods), F.lit(False))).alias("strange"),
+        *in_week,
+        *[F.sum(c).alias(c) for c in sums],
+    )
+    known = users.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_users"))
+    both = by_user.join(known, "user_id", "full_outer").fillna(0, ["n", "n_users"])
+    each = [F.sum(f"week_{w}").alias(f"week_{w}") for w in weeks]
+    total = both.agg(
+        F.sum("n").alias("rows"),
+        F.count_if(F.col("n") != F.col("n_users") * cfg.obs_periods).alias("off"),
+        F.sum("repeated").alias("repeated"),
+        F.sum("strange").alias("strange"),
+        *each,
+        *[F.sum(c).alias(c) for c in sums],
+    )
+    sizes = F.array(*[F.coalesce(F.col(f"week_{w}"), F.lit(0)) for w in weeks])
+    uneven = F.array_max(sizes) - F.array_min(sizes) + F.coalesce(F.col("strange"), F.lit(0))
+    total = total.withColumns(
+        {
+            "row_count_n": F.col("rows"), "row_count_bad": F.col("off"),
+            "unique_key_n": F.col("rows"), "unique_key_bad": F.col("repeated"),
+            "uniform_weeks_n": F.lit(cfg.obs_periods), "uniform_weeks_bad": uneven,
+        }
+    )
+    return _verdicts(total, ["row_count", "unique_key", "uniform_weeks", *checks])
 
 
 def value_ranges(weekly: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -203,6 +251,12 @@ DECAY = (
 )
 
 
+def as_verdict(expected: DataFrame, name: str) -> DataFrame:
+    """Rows with a column ``passed`` in the common shape of all checks."""
+    sums = expected.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("passed")).alias("bad"))
+    return _verdict(sums, name, F.col("n"), F.col("bad"))
+
+
 def with_persona(weekly: DataFrame, users: DataFrame) -> DataFrame:
     return weekly.join(users.select("user_id", "persona"), "user_id")
 
@@ -335,13 +389,26 @@ def label_match(flat: DataFrame, sequence: DataFrame) -> DataFrame:
     return _verdict(sums, "label_match", F.col("n"), F.col("bad"))
 
 
-def leakage(flat: DataFrame) -> DataFrame:
-    """Neither form has a forbidden feature; the user id and label are no features."""
-    features = (set(flat.columns) - {"user_id", "churn"}) | set(schema.names())
-    leaked = features & set(schema.FORBIDDEN_IN_DATASETS)
-    return _verdict(
-        flat.agg(F.count(F.lit(1)).alias("n")), "leakage", F.col("n"), F.lit(len(leaked))
+def leakage(flat: DataFrame, names: DataFrame) -> DataFrame:
+    """Neither form has a forbidden feature; the user id and label are no features.
+
+    ``names`` is the stored list of the sequence features, ``feature_names`` in a row.
+    """
+    leaked = (set(flat.columns) - {"user_id", "churn"}) & set(schema.FORBIDDEN_IN_DATASETS)
+    rows = flat.agg(F.count(F.lit(1)).alias("n"), F.lit(len(leaked)).cast("long").alias("bad"))
+    stored = names.select(F.explode("feature_names").alias("name"))
+    forbidden = F.count_if(F.col("name").isin(*schema.FORBIDDEN_IN_DATASETS))
+    both = rows.unionByName(stored.agg(F.lit(0).cast("long").alias("n"), forbidden.alias("bad")))
+    return _verdict(both.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "leakage", F.col("n"), F.col("bad"))
+
+
+def sequence_names(names: DataFrame) -> DataFrame:
+    """The stored list names the features of the data model in their order."""
+    expected = F.array(*map(F.lit, schema.names()))
+    sums = names.agg(
+        F.sum(F.size("feature_names")).alias("n"), F.count_if(~F.col("feature_names").eqNullSafe(expected)).alias("bad")
     )
+    return _verdict(sums, "sequence_names", F.col("n"), F.col("bad"))
 
 
 def flat_rows(flat: DataFrame, users: DataFrame) -> DataFrame:
@@ -423,19 +490,21 @@ def _stack(*checks: DataFrame) -> DataFrame:
 
 
 def weekly_report(weekly: DataFrame, users: DataFrame, cfg: WindowConfig) -> DataFrame:
+    """Structure of the weekly table, and what the segments of users promise."""
     return _stack(
-        row_count(weekly, users, cfg),
-        unique_key(weekly),
-        uniform_weeks(weekly, cfg),
-        weekly_rows(weekly),
+        weekly_structure(weekly, users, cfg),
         norm_median(weekly),
+        as_verdict(group_order(weekly, users), "group_order"),
+        as_verdict(segment_decay(weekly, users, cfg), "segment_decay"),
+        as_verdict(segment_stability(weekly, users, cfg), "segment_stability"),
     )
 
 
 def dataset_report(
-    flat: DataFrame, sequence: DataFrame, split: DataFrame, users: DataFrame, cfg: WindowConfig
+    flat: DataFrame, sequence: DataFrame, names: DataFrame, split: DataFrame, users: DataFrame, cfg: WindowConfig
 ) -> DataFrame:
-    """Checks of both dataset forms; ``flat`` and ``sequence`` carry their split."""
+    """Checks of both dataset forms; ``flat`` and ``sequence`` carry their split, and
+    ``names`` is the stored list of sequence features."""
     return _stack(
         split_disjoint(flat),
         split_disjoint(sequence),
@@ -444,8 +513,10 @@ def dataset_report(
         sequence_cells(sequence, cfg),
         stratification(split),
         label_match(flat, sequence),
-        leakage(flat.drop("split")),
+        leakage(flat.drop("split"), names),
+        sequence_names(names),
         flat_rows(flat, users),
         label_domain(flat),
+        churn_rate_limits(flat, users),
         label_signal_check(flat.filter("split = 'train'")),
     )

@@ -39,19 +39,23 @@ def game_weeks(obs: DataFrame, cfg: WindowConfig) -> DataFrame:
 def genre_weeks(games_played: DataFrame, games: DataFrame) -> DataFrame:
     """Game rows merged per genre; a game without catalogue row has a null genre.
 
-    The catalogue is broadcast if Spark finds it small enough; otherwise the join
-    is a shuffle join, whose hot games adaptive execution splits.
+    A game that the catalogue lists more than once counts in each of its genres, but
+    only its first row counts as the game. The catalogue is broadcast if Spark finds it
+    small enough; otherwise the join is a shuffle join, whose hot games adaptive
+    execution splits.
     """
-    genre = games.select("game_id", "genre")
+    copy = F.row_number().over(Window.partitionBy("game_id").orderBy("genre"))
+    genre = games.select("game_id", "genre", (copy > 1).alias("again"))
+    once = ~F.coalesce("again", F.lit(False))
     return (
         games_played.join(genre, "game_id", "left")
         .groupBy(*KEYS, "genre")
         .agg(
             F.sum("game_sessions").alias("genre_sessions"),
-            F.sum("game_seconds").alias("genre_seconds"),
+            F.sum(F.when(once, F.col("game_seconds"))).alias("genre_seconds"),
             F.max("game_seconds").alias("top_game_seconds"),
-            F.count("game_id").alias("n_games"),
-            F.count_if(F.col("is_new") & F.col("game_id").isNotNull()).alias("n_new"),
+            F.count_if(once & F.col("game_id").isNotNull()).alias("n_games"),
+            F.count_if(once & F.col("is_new") & F.col("game_id").isNotNull()).alias("n_new"),
         )
     )
 
@@ -59,8 +63,9 @@ def genre_weeks(games_played: DataFrame, games: DataFrame) -> DataFrame:
 def game_profile(obs: DataFrame, games: DataFrame, cfg: WindowConfig) -> DataFrame:
     """Unique games, playtime share of the top game, genre entropy, share of new games.
 
-    With c the sessions per genre and N their sum, the entropy in bits is
-    ``log2 N - sum(c log2 c) / N``, which needs no pass for the shares.
+    Only the entropy depends on the catalogue; what it lacks or repeats leaves the other
+    columns as they are. With c the sessions per genre and N their sum, the entropy in
+    bits is ``log2 N - sum(c log2 c) / N``, which needs no pass for the shares.
     """
     c = F.col("genre_sessions").cast("double")
     weekly = (

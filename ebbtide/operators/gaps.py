@@ -6,76 +6,77 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions import exprs as X
-from ebbtide.operators.sessions import weekly_totals
 from ebbtide.schema import KEYS
 
-# A user-week with more sessions than this is ordered in time slices. At most one
-# in BUSY sessions can open such a user-week, which bounds the list of them.
-BUSY = 1_000_000
-SLICE_SECONDS = 60
+SLICE_SECONDS = 3600
 
 
-def inter_session_gaps(
-    obs: DataFrame, totals: DataFrame | None = None, busy: int = BUSY, slice_seconds: int = SLICE_SECONDS
-) -> DataFrame:
-    """Seconds from the end of a session to the start of the next in the week.
-
-    Sessions are ordered by start time, ties by session id. The gap is negative
-    where sessions overlap and null for the first session of a week.
+def _ordered(obs: DataFrame, slice_seconds: int) -> DataFrame:
+    """Sessions with the end of their predecessor in the same slice of time.
 
-    Ordering a busy user-week in one task would put all its sessions there. Such
-    user-weeks are split into short time slices that are ordered apart; the first
-    session of a slice takes its predecessor from the last session of the slice
-    before. ``totals`` are the session counts per user-week if they exist already.
+    Every user-week is ordered slice by slice, so no task orders more than one slice
+    of a user. Ties in start time are ordered by session id; rows without a user are
+    users like any other here.
     """
-    totals = weekly_totals(obs) if totals is None else totals
-    # Not more rows than all sessions divided by ``busy``.
-    hot = F.broadcast(
-        totals.filter(F.col("weekly_session_count") > busy).select(*KEYS, F.lit(True).alias("is_busy"))
-    )
-    columns = [*KEYS, "session_id", "start_time", "end_time"]
-    slot = F.floor(F.unix_timestamp("start_time") / slice_seconds)
-
     in_slice = Window.partitionBy(*KEYS, "slice").orderBy("start_time", "session_id")
-    ordered = (
-        obs.select(*columns)
-        .join(hot, list(KEYS), "left")
-        .withColumn("slice", F.when(F.col("is_busy"), slot).otherwise(F.lit(0)))
+    return (
+        obs.select(*KEYS, "session_id", "start_time", "end_time")
+        .withColumn("slice", F.floor(F.unix_timestamp("start_time") / slice_seconds))
         .withColumn("prev_end", F.lag("end_time").over(in_slice))
-        .withColumn("follows", F.lag(F.lit(True)).over(in_slice))
-        .filter(F.col("is_busy").isNull() | F.col("follows"))
+        .withColumn("follows", F.lag(F.lit(True)).over(in_slice).isNotNull())
     )
 
-    edges = (
-        obs.select(*columns)
-        .join(hot, list(KEYS))
-        .groupBy(*KEYS, slot.alias("slice"))
-        .agg(
-            F.min(F.struct("start_time", "session_id")).alias("head"),
-            F.max(F.struct("start_time", "session_id", "end_time")).alias("tail"),
-        )
-    )
+
+def inter_session_gaps(obs: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """Seconds from the end of a session to the start of the next in the week.
+
+    The gap is negative where sessions overlap and null for the first session of a
+    week. The first session of a slice takes its predecessor from the slice before:
+    one row per slice moves for that.
+    """
+    ordered = _ordered(obs, slice_seconds)
+    whole = Window.partitionBy(*KEYS, "slice")
+    last = F.max(F.struct("start_time", "session_id", "end_time")).over(whole)["end_time"]
     across = Window.partitionBy(*KEYS).orderBy("slice")
-    heads = edges.select(
-        *KEYS,
-        F.col("head.session_id").alias("session_id"),
-        F.col("head.start_time").alias("start_time"),
-        F.lag("tail.end_time").over(across).alias("prev_end"),
+    heads = (
+        ordered.withColumn("last_end", last)
+        .filter(~F.col("follows"))
+        .withColumn("prev_end", F.lag("last_end").over(across))
     )
+    columns = [*KEYS, "session_id", "start_time", "prev_end"]
     return (
-        ordered.select(*KEYS, "session_id", "start_time", "prev_end")
-        .unionByName(heads)
+        ordered.filter("follows")
+        .select(*columns)
+        .unionByName(heads.select(*columns))
         .select(*KEYS, "session_id", X.seconds_between("prev_end", "start_time").alias("gap_s"))
     )
 
 
-def session_regularity(
-    obs: DataFrame, totals: DataFrame | None = None, busy: int = BUSY, slice_seconds: int = SLICE_SECONDS
-) -> DataFrame:
-    """Standard deviation of the gaps per user-week, 0 below two gaps."""
-    gaps = inter_session_gaps(obs, totals, busy, slice_seconds)
-    sums = gaps.groupBy(*KEYS).agg(
-        F.count("gap_s").alias("n"), F.sum("gap_s").alias("total"), F.sum(X.square("gap_s")).alias("squares")
+def session_regularity(obs: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """Standard deviation of the gaps per user-week, 0 below two gaps.
+
+    One scan and one shuffle of the sessions; a slice leaves it as one row with the sums
+    of its gaps, its first start and its last end, and the slices of a week are chained.
+    """
+    gap = X.seconds_between("prev_end", "start_time")
+    slices = (
+        _ordered(obs, slice_seconds)
+        .withColumn("gap", gap)
+        .groupBy(*KEYS, "slice")
+        .agg(
+            F.count("gap").alias("n"),
+            F.sum("gap").alias("total"),
+            F.sum(X.square("gap")).alias("squares"),
+            F.min("start_time").alias("first_start"),
+            F.max(F.struct("start_time", "session_id", "end_time"))["end_time"].alias("last_end"),
+        )
+    )
+    across = Window.partitionBy(*KEYS).orderBy("slice")
+    edge = X.seconds_between(F.lag("last_end").over(across), "first_start")
+    sums = slices.withColumn("edge", edge).groupBy(*KEYS).agg(
+        (F.sum("n") + F.count("edge")).alias("n"),
+        (F.coalesce(F.sum("total"), F.lit(0)) + F.coalesce(F.sum("edge"), F.lit(0))).alias("total"),
+        (F.coalesce(F.sum("squares"), F.lit(0.0)) + F.coalesce(F.sum(X.square("edge")), F.lit(0.0))).alias("squares"),
     )
     return sums.select(
         *KEYS, F.coalesce(X.sample_std("n", "total", "squares") / 60, F.lit(0.0)).alias("session_regularity")

@@ -23,7 +23,9 @@ def population_medians(totals: DataFrame) -> DataFrame:
 
 def population_norm(active: DataFrame, medians: DataFrame) -> DataFrame:
     # As many rows as the window has weeks: the broadcast cannot grow with the data.
-    joined = active.join(F.broadcast(medians), "week_num", "left")
+    # Null-safe, so that no filter on one use of the totals keeps the other from sharing them.
+    by_week = F.broadcast(medians.withColumnRenamed("week_num", "median_week"))
+    joined = active.join(by_week, F.col("week_num").eqNullSafe(F.col("median_week")), "left").drop("median_week")
     return joined.withColumns(
         {
             "weekly_session_count_norm": X.safe_ratio("weekly_session_count", "pop_median_session_count"),

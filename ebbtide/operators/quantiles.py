@@ -13,18 +13,38 @@ from pyspark.sql import functions as F
 BINS_PER_OCTAVE = 1024
 
 
+# Parts of the located bin, between its least and its greatest value, in a second count.
+PARTS = 4096
+
+
 def _bin(value: Column) -> Column:
-    """Monotone, data-independent bin of a double."""
+    """Monotone, data-independent bin of a double; infinities have bins of their own
+    and NaN, as in Spark's order, the highest."""
     magnitude = F.floor(F.log2(F.abs(value) + 1) * BINS_PER_OCTAVE)
-    return F.when(value < 0, -magnitude).otherwise(magnitude)
+    top = F.lit(1 << 40)
+    finite = F.when(value < 0, -magnitude).otherwise(magnitude)
+    return (
+        F.when(F.isnan(value), top + 1)
+        .when(value == float("inf"), top)
+        .when(value == float("-inf"), -top)
+        .otherwise(finite)
+    )
+
+
+def _part(value: Column, low: Column, high: Column) -> Column:
+    """Which of ``PARTS`` equal parts of the range a value of a bin lies in."""
+    share = F.try_divide(value / 2 - low / 2, high / 2 - low / 2)
+    part = F.floor(F.when(F.isnan(share) | share.isNull(), 0.0).otherwise(share) * PARTS)
+    return F.least(F.greatest(part, F.lit(0)), F.lit(PARTS - 1))
 
 
 def _candidates(df: DataFrame, by: list[str], columns: list[str], probs: list[str]) -> DataFrame:
     """Rows ``(*by, metric, prob, value)``; the quantile is the smallest value of each group.
 
-    Values are first counted (equal values merge on the map side), then the counts
-    of coarse bins locate the one bin that holds each quantile, and only that bin is
-    ordered. ``probs`` are decimal literals such as ``"0.95"``.
+    Values are first counted (equal values merge on the map side), then the counts of
+    coarse bins locate the one bin that holds each quantile, the counts of equal parts of
+    that bin's range locate the part, and only the values of that part are ordered.
+    ``probs`` are decimal literals such as ``"0.95"``.
     """
     counts = (
         df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
@@ -38,7 +58,7 @@ def _candidates(df: DataFrame, by: list[str], columns: list[str], probs: list[st
     below = Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = (
         counts.groupBy(*group, "bin")
-        .agg(F.sum("n").alias("in_bin"))
+        .agg(F.sum("n").alias("in_bin"), F.min("value").alias("low"), F.max("value").alias("high"))
         .withColumn("before", F.coalesce(F.sum("in_bin").over(below), F.lit(0)))
         .withColumn("size", F.sum("in_bin").over(Window.partitionBy(*group)))
     )
@@ -52,13 +72,28 @@ def _candidates(df: DataFrame, by: list[str], columns: list[str], probs: list[st
     # Null-safe keys keep a null group and, unlike plain ones, add no filter to one of
     # the two uses of ``counts``, so both read the same shuffle of the input.
     keys = [*group, "bin"]
-    wanted = targets.select(*[F.col(c).alias(f"wanted_{c}") for c in keys], "prob", "rank")
+    found = [*keys, "prob"]
+    wanted = targets.select(*[F.col(c).alias(f"wanted_{c}") for c in keys], "prob", "rank", "low", "high")
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"wanted_{c}")) for c in keys])
-    upto = Window.partitionBy(*keys, "prob").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    inside = counts.join(wanted, same).withColumn("part", _part(F.col("value"), F.col("low"), F.col("high")))
+
+    # A group and probability has one located bin, so its parts are few rows; running
+    # totals of the parts leave the part that holds the rank.
+    running = Window.partitionBy(*found).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        inside.groupBy(*found, "rank", "part")
+        .agg(F.sum("n").alias("in_part"))
+        .withColumn("rank", F.col("rank") - F.coalesce(F.sum("in_part").over(running), F.lit(0)))
+        .filter("rank between 1 and in_part")
+    )
+    part_keys = [*found, "part"]
+    located = parts.select(*[F.col(c).alias(f"part_{c}") for c in part_keys], F.col("rank").alias("part_rank"))
+    in_part = reduce(and_, [F.col(c).eqNullSafe(F.col(f"part_{c}")) for c in part_keys])
+    upto = Window.partitionBy(*part_keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        counts.join(wanted, same)
+        inside.join(located, in_part)
         .withColumn("upto", F.sum("n").over(upto))
-        .filter("upto >= rank")
+        .filter("upto >= part_rank")
         .select(*group, F.col("prob").cast("double").alias("prob"), "value")
     )
 

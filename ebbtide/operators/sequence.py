@@ -42,6 +42,13 @@ def sequence_rows(dataset: DataFrame) -> DataFrame:
     )
 
 
+def matrix_text(dataset: DataFrame) -> DataFrame:
+    """The nested form with the matrix as text: whole millionths, weeks apart by ``;``."""
+    cell = lambda v: F.floor(v * F.lit(1e6) + F.lit(0.501)).cast("long").cast("string")
+    weeks = F.transform("X", lambda week: F.array_join(F.transform(week, cell), ","))
+    return dataset.select("user_id", F.array_join(weeks, ";").alias("X"), "churn")
+
+
 def feature_names(spark: SparkSession) -> DataFrame:
     """One row that names the positions of the inner arrays of ``X``."""
     return spark.createDataFrame([(schema.names(),)], "feature_names array<string>")

@@ -1,6 +1,6 @@
 """Batch jobs: read the raw tables, compose the operators, write the results.
 
-``python -m ebbtide.plans.jobs features|dataset|validate <raw dir> <output dir>``
+``python -m ebbtide.plans.jobs arrange|features|dataset|validate <raw dir> <output dir>``
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from ebbtide.operators import checks, sequence, split
 from ebbtide.plans.dataset import build_datasets
 from ebbtide.plans.weekly import weekly_features
 from ebbtide.sources import sinks
-from ebbtide.sources.tables import Tables, read_parquet, read_tables
+from ebbtide.sources.tables import FILES, Tables, read_parquet, read_tables
 
 WEEKLY = "weekly_features.parquet"
 FLAT = "flat.parquet"
@@ -30,6 +30,7 @@ def session(name: str) -> SparkSession:
         SparkSession.builder.appName(name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.legacy.parquet.nanosAsLong", "true")
         .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
         .getOrCreate()
@@ -38,9 +39,9 @@ def session(name: str) -> SparkSession:
 
 def features(tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig()) -> DataFrame:
     """Write the weekly table and return it as read back."""
-    weekly = weekly_features(tables, cfg, stage=sinks.checkpointed)
     path = f"{output_dir}/{WEEKLY}"
-    sinks.write_table(weekly, path)
+    with sinks.Staging(tables.spark, output_dir) as stage:
+        sinks.write_table(weekly_features(tables, cfg, stage=stage), path)
     return read_parquet(tables.spark, path)
 
 
@@ -50,17 +51,18 @@ def dataset(
     """Write both dataset forms, one folder per split, and return the split report."""
     spark = tables.spark
     weekly = read_parquet(spark, f"{output_dir}/{WEEKLY}")
-    built = build_datasets(
-        weekly,
-        tables.users.select("user_id"),
-        tables.sessions.select("user_id", "start_time"),
-        cfg,
-        split_cfg,
-        stage=sinks.checkpointed,
-    )
-    sinks.write_table(built.split, f"{output_dir}/{SPLIT}")
-    sinks.write_table(built.flat, f"{output_dir}/{FLAT}", partition_by="split")
-    sinks.write_table(built.sequence, f"{output_dir}/{SEQUENCE}", partition_by="split")
+    with sinks.Staging(spark, output_dir) as stage:
+        built = build_datasets(
+            weekly,
+            tables.users.select("user_id"),
+            tables.sessions.select("user_id", "start_time"),
+            cfg,
+            split_cfg,
+            stage=stage,
+        )
+        sinks.write_table(built.split, f"{output_dir}/{SPLIT}")
+        sinks.write_table(built.flat, f"{output_dir}/{FLAT}", partition_by="split")
+        sinks.write_table(built.sequence, f"{output_dir}/{SEQUENCE}", partition_by="split")
     sinks.write_table(sequence.feature_names(spark), f"{output_dir}/{SEQUENCE_NAMES}")
     return split.split_report(read_parquet(spark, f"{output_dir}/{SPLIT}"))
 
@@ -68,23 +70,30 @@ def dataset(
 def validate(tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig()) -> DataFrame:
     """Run the quality checks over the written tables."""
     spark = tables.spark
-    weekly, flat, matrices, parts = (
-        read_parquet(spark, f"{output_dir}/{name}") for name in (WEEKLY, FLAT, SEQUENCE, SPLIT)
+    weekly, flat, matrices, names, parts = (
+        read_parquet(spark, f"{output_dir}/{name}") for name in (WEEKLY, FLAT, SEQUENCE, SEQUENCE_NAMES, SPLIT)
     )
     return checks.weekly_report(weekly, tables.users, cfg).unionByName(
-        checks.dataset_report(flat, matrices, parts, tables.users, cfg)
+        checks.dataset_report(flat, matrices, names, parts, tables.users, cfg)
     )
 
 
+def arrange(tables: Tables, output_dir: str) -> None:
+    """Write the sessions ordered by start, so that the windows read few row groups."""
+    sinks.write_time_ordered(tables.sessions, f"{output_dir}/{FILES['sessions']}.parquet", "start_time")
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="ebbtide")
-    parser.add_argument("job", choices=["features", "dataset", "validate"])
+    parser.add_argument("job", choices=["arrange", "features", "dataset", "validate"])
     parser.add_argument("raw_dir")
     parser.add_argument("output_dir")
     args = parser.parse_args(argv)
     spark = session(f"ebbtide-{args.job}")
     tables = read_tables(spark, args.raw_dir)
-    if args.job == "features":
+    if args.job == "arrange":
+        arrange(tables, args.output_dir)
+    elif args.job == "features":
         weekly = features(tables, args.output_dir)
         weekly.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(weekly.columns)).alias("columns")).show()
     elif args.job == "dataset":

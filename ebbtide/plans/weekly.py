@@ -27,10 +27,9 @@ def active_weeks(tables: Tables, cfg: WindowConfig, stage: Stage | None = None)
     profile = session_ops.session_profile(obs, cfg)
     if stage:
         profile = stage(profile, "session_profile")
-        totals = profile
-    else:
-        totals = session_ops.weekly_totals(obs)
-    joined = profile.join(gaps.session_regularity(obs, totals), list(KEYS), "left").join(
+    # Without a stored profile the medians read their two columns from the sessions.
+    totals = profile if stage else session_ops.weekly_totals(obs)
+    joined = profile.join(gaps.session_regularity(obs), list(KEYS), "left").join(
         diversity.game_profile(obs, tables.games, cfg), list(KEYS), "left"
     )
     return norm.population_norm(joined, norm.population_medians(totals))

@@ -354,6 +354,14 @@ LEFT JOIN labels y USING (user_id)""",
 SELECT user_id, week_num,
   {", ".join(f"coalesce({f.name}, {f.sequence_fill})::DOUBLE AS {f.name}" for f in schema.FEATURES)}
 FROM weekly""",
+    ),
+    "seq_matrix": (
+        ("seq_filled", "labels"),
+        f"""
+SELECT user_id, string_agg(concat_ws(',', {", ".join(
+    f"CAST(floor({c} * 1e6::DOUBLE + 0.501::DOUBLE) AS BIGINT)" for c in schema.names())}), ';' ORDER BY week_num) AS X,
+  any_value(churn) AS churn
+FROM seq_filled JOIN labels USING (user_id) GROUP BY user_id""",
     ),
     "seq_rows": (
         ("seq_filled", "labels"),

@@ -118,8 +118,7 @@ def _dense_daily(q: Inputs):
 
 
 def _activity(q: Inputs):
-    dates = scaffold.user_dates(scaffold.observed_users(q.obs), CFG)
-    return engagement.daily_activity(dates, q.obs.select("user_id", "date").distinct())
+    return engagement.daily_activity(scaffold.fill_missing_weeks(_profile(q), CFG), CFG)
 
 
 def _volatility(q: Inputs):
@@ -260,8 +259,9 @@ def _datasets() -> list[Query]:
               lambda q: sequence.sequence_filled(q.weekly), _from("seq_filled"), ("seq_filled",)),
         Query("sequence_dataset", f"{K} feature value:d churn:i",
               lambda q: sequence.sequence_rows(q.sequence), _from("seq_rows"), ("seq_rows",)),
-        # The nested form itself; its cells are compared by sequence_dataset.
-        Query("sequence_matrix", "user_id X churn:i", lambda q: q.sequence),
+        # The nested form as text: millionths of the cells, weeks apart by semicolons.
+        Query("sequence_matrix", "user_id X churn:i", lambda q: sequence.matrix_text(q.sequence),
+              _from("seq_matrix"), ("seq_matrix",)),
         Query("stratified_split", "user_id churn:i split", lambda q: q.split, _from("split"), ("split",)),
         Query(
             "split_report", "split users:i churned:i churn_rate:d", lambda q: split.split_report(q.split),
@@ -387,10 +387,10 @@ def _checks() -> list[Query]:
         Query("dq_segment_decay", "expectation left_mean:d right_mean:d passed",
               lambda q: checks.segment_decay(q.weekly, users(q), CFG), decay, ("seg",)),
         Query(
-            "segment_weekly_trend", f"week_num {_spec(profile.TREND_COLUMNS, doubles_only=True)}",
-            lambda q: profile.segment_weekly_trend(checks.with_persona(q.weekly, users(q)), "about_to_churn"),
-            f"SELECT week_num, {', '.join(f'avg({c}) AS {c}' for c in profile.TREND_COLUMNS)} "
-            "FROM seg WHERE persona = 'about_to_churn' GROUP BY week_num", ("seg",),
+            "segment_weekly_trend", f"persona week_num {_spec(profile.TREND_COLUMNS, doubles_only=True)}",
+            lambda q: profile.segment_weekly_trend(checks.with_persona(q.weekly, users(q)), "about_to_churn", "hardcore"),
+            f"SELECT persona, week_num, {', '.join(f'avg({c}) AS {c}' for c in profile.TREND_COLUMNS)} "
+            "FROM seg WHERE persona IN ('about_to_churn', 'hardcore') GROUP BY ALL", ("seg",),
         ),
         Query(
             "segment_stability", "persona raw_change:d norm_change:d passed",
@@ -441,7 +441,7 @@ FROM (SELECT avg(weekly_session_count) FILTER (week_num = 1) AS rf, avg(weekly_s
                      "FROM flat a FULL JOIN (SELECT DISTINCT user_id, churn FROM seq_rows) b ON a.user_id = b.user_id"),
             ("flat", "seq_rows"),
         ),
-        Query("dq_leakage", VERDICT, lambda q: checks.leakage(q.flat),
+        Query("dq_leakage", VERDICT, lambda q: checks.leakage(q.flat, sequence.feature_names(q.spark)),
               _verdict("leakage", "count(*)", "0", "FROM flat"), ("flat",)),
         Query(
             "dq_flat_rows", VERDICT, lambda q: checks.flat_rows(q.flat, users(q)),
@@ -533,6 +533,11 @@ def _share_sql(table: str, by: str, column: str) -> str:
     )
 
 
+def _extent_sql(table: str, time: str, *keys: str) -> str:
+    counts = "".join(f", count(DISTINCT {k}) AS n_{k}" for k in keys)
+    return f"SELECT min({time}) AS first_time, max({time}) AS last_time, count(*) AS n_rows{counts} FROM {table}"
+
+
 # First calendar period of the late part of the data.
 LATE_PERIOD = 8
 
@@ -601,10 +606,19 @@ def _profiles() -> list[Query]:
         Query("signups_by_month", "signup_month:i n:i", lambda q: profile.signups_by_month(q.tables.users),
               "SELECT month(signup_date) AS signup_month, count(*) AS n FROM users GROUP BY 1", ("users",)),
         Query(
-            "session_totals", "earliest:s latest:s total_sessions:i unique_users:i unique_games:i",
-            lambda q: profile.session_totals(q.tables.sessions),
-            "SELECT min(start_time) AS earliest, max(start_time) AS latest, count(session_id) AS total_sessions, "
-            "count(DISTINCT user_id) AS unique_users, count(DISTINCT game_id) AS unique_games FROM sessions", ("sessions",),
+            "session_totals", "first_time:s last_time:s n_rows:i n_user_id:i n_game_id:i",
+            lambda q: profile.extent(q.tables.sessions, "start_time", "user_id", "game_id"),
+            _extent_sql("sessions", "start_time", "user_id", "game_id"), ("sessions",),
+        ),
+        Query(
+            "payment_totals", "first_time:s last_time:s n_rows:i n_user_id:i n_payment_type:i",
+            lambda q: profile.extent(q.tables.payments, "payment_date", "user_id", "payment_type"),
+            _extent_sql("payments", "payment_date", "user_id", "payment_type"), ("payments",),
+        ),
+        Query(
+            "sub_event_totals", "first_time:s last_time:s n_rows:i n_user_id:i n_event_type:i",
+            lambda q: profile.extent(q.tables.sub_events, "event_date", "user_id", "event_type"),
+            _extent_sql("sub_events", "event_date", "user_id", "event_type"), ("sub_events",),
         ),
         Query(
             "duration_percentiles", "mean:d std:d p50:d p95:d p99:d max:d",

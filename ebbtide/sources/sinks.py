@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,7 +22,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if named is None:
         named = context.getCheckpointDir()
     if named is None:
-        if not context.master.startswith("local"):
+        if not re.match(r"local($|\[)", context.master):  # local-cluster has executors of its own
             raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
         named = tempfile.mkdtemp(prefix="ebbtide-checkpoint-")
     if context.getCheckpointDir() is None:
@@ -28,11 +30,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
-def checkpointed(df: DataFrame, name: str) -> DataFrame:
-    """Store an intermediate table once, so branches do not recompute it and a
-    lost executor costs no more than its own tasks."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+class Staging:
+    """Intermediate tables of a job as Parquet under its output folder, which all nodes
+    share; branches read them instead of recomputing, a lost executor costs no more than
+    its own tasks, and the folder goes when the job ends."""
+
+    def __init__(self, spark: SparkSession, output_dir: str) -> None:
+        self.spark = spark
+        self.path = f"{output_dir}/_staging-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        write_table(df, f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
+    def __exit__(self, *error) -> None:
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,16 +84,37 @@ def without_zone(df: DataFrame, *columns: str) -> DataFrame:
     for name in columns:
         kind = df.schema[name].dataType
         if isinstance(kind, T.LongType):
-            changed[name] = F.timestamp_micros(F.floor(F.col(name) / 1000)).cast("timestamp_ntz")
+            changed[name] = _wall_time(F.expr(f"`{name}` div 1000 - int(`{name}` % 1000 < 0)"))
         elif isinstance(kind, T.TimestampType):
-            changed[name] = F.col(name).cast("timestamp_ntz")
+            changed[name] = _wall_time(F.unix_micros(F.col(name)))
     return df.withColumns(changed) if changed else df
 
 
+def _wall_time(micros: Column) -> Column:
+    """UTC wall time, counted from the epoch, whatever the zone of the session."""
+    seconds = micros.cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    zero = F.lit(0)
+    since = F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
+
+
+# Declared input schemas. Session times come in several encodings, so that schema is
+# read from the files.
+SCHEMAS = {
+    "users": "user_id string, signup_date date, subscription_tier string, device_type string, region string, "
+    "referral_source string, age_group string, gender string, persona string",
+    "games": "game_id string, game_title string, genre string, publisher string, popularity_tier string, "
+    "supported_max_resolution string",
+    "sub_events": "event_id string, user_id string, event_date date, event_type string, from_tier string, to_tier string",
+    "payments": "payment_id string, user_id string, payment_date date, amount_usd double, payment_type string, "
+    "payment_method string, status string",
+}
+
+
 def read_tables(spark: SparkSession, input_dir: str) -> Tables:
     def opener(name: str) -> Callable[[], DataFrame]:
         def open_table() -> DataFrame:
-            df = read_parquet(spark, f"{input_dir}/{FILES[name]}.parquet")
+            df = read_parquet(spark, f"{input_dir}/{FILES[name]}.parquet", schema=SCHEMAS.get(name))
             return without_zone(df, "start_time", "end_time") if name == "sessions" else df
 
         return open_table

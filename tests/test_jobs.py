@@ -7,6 +7,7 @@ from fixture import tables
 from pyspark.sql import functions as F
 
 from ebbtide import WindowConfig, schema
+from ebbtide.operators import checks
 from ebbtide.plans import jobs
 from ebbtide.plans.weekly import weekly_features
 from ebbtide.sources import sinks
@@ -67,8 +68,56 @@ def test_validate_job(folders):
     raw, out, _ = folders
     verdicts = {r["check_name"]: r["passed"] for r in jobs.validate(raw, out).collect()}
     # Three users cannot be stratified; all structural checks hold.
-    verdicts.pop("stratification"), verdicts.pop("label_signal")
-    assert len(verdicts) >= 18 and all(verdicts.values()), verdicts
+    for name in ("stratification", "label_signal", "group_order", "segment_decay", "segment_stability", "churn_rate_limits"):
+        verdicts.pop(name)
+    assert len(verdicts) >= 19 and all(verdicts.values()), verdicts
+
+
+def test_validate_job_emits_every_check(folders):
+    raw, out, _ = folders
+    names = [r["check_name"] for r in jobs.validate(raw, out).collect()]
+    assert set(names) == set(
+        """row_count unique_key uniform_weeks never_null wow_first_week nulls_match_zero_weeks bounded
+        non_negative norm_median group_order segment_decay segment_stability split_disjoint split_exhaustive
+        cross_format sequence_shape sequence_no_null stratification label_match leakage sequence_names
+        flat_rows label_domain churn_rate_limits label_signal""".split()
+    )
+
+
+def test_one_pass_equals_the_single_checks(spark, folders):
+    raw, out, _ = folders
+    weekly = spark.read.parquet(f"{out}/{jobs.WEEKLY}")
+    broken = weekly.union(weekly.limit(2)).filter("not (user_id = 'B' and week_num = 3)")
+    for df in (weekly, broken):
+        once = {r["check_name"]: tuple(r) for r in checks.weekly_structure(df, raw.users, CFG).collect()}
+        single = checks.row_count(df, raw.users, CFG).union(checks.unique_key(df)).union(checks.uniform_weeks(df, CFG))
+        for r in single.union(checks.weekly_rows(df)).collect():
+            assert once[r["check_name"]] == tuple(r)
+
+
+def test_a_planted_leak_is_found(spark, folders):
+    _, out, _ = folders
+    flat = spark.read.parquet(f"{out}/{jobs.FLAT}").drop("split")
+    stored = spark.read.parquet(f"{out}/{jobs.SEQUENCE_NAMES}")
+    planted = stored.select(F.array_append("feature_names", F.lit("persona")).alias("feature_names"))
+    verdict = lambda df: df.first()["passed"]
+    assert verdict(checks.leakage(flat, stored)) and verdict(checks.sequence_names(stored))
+    assert not verdict(checks.leakage(flat, planted)) and not verdict(checks.sequence_names(planted))
+    assert not verdict(checks.leakage(flat.withColumn("persona", F.lit("x")), stored))
+
+
+def test_no_staging_is_left(spark, folders):
+    import os
+
+    _, out, _ = folders
+    assert not [name for name in os.listdir(out) if name.startswith("_staging")]
+
+
+def test_arranged_sessions_give_the_same_features(spark, folders, tmp_path):
+    raw, out, _ = folders
+    jobs.arrange(raw, str(tmp_path))
+    again = read_parquet(spark, f"{tmp_path}/{FILES['sessions']}.parquet")
+    assert sorted(map(str, again.collect())) == sorted(map(str, raw.sessions.collect()))
 
 
 def test_column_pruned_read(spark, folders, tmp_path_factory):
@@ -77,16 +126,22 @@ def test_column_pruned_read(spark, folders, tmp_path_factory):
     assert df.columns == ["user_id", "week_num"]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 @pytest.mark.parametrize("stored", ["timestamp", "timestamp_ntz", "nanoseconds"])
-def test_timestamps_lose_their_zone(spark, stored):
-    df = spark.sql("select timestamp_ntz'2024-01-29 10:00:00.123456' as t")
-    if stored == "timestamp":
-        df = df.select(F.col("t").cast("timestamp").alias("t"))
-    elif stored == "nanoseconds":
-        df = df.select((F.unix_micros(F.col("t").cast("timestamp")) * 1000 + 789).alias("t"))
-    got = without_zone(df, "t")
-    assert got.schema["t"].dataType.simpleString() == "timestamp_ntz"
-    assert str(got.first()["t"]) == "2024-01-29 10:00:00.123456"
+def test_timestamps_lose_their_zone(spark, stored, zone):
+    saved = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for wall in ("2024-01-29 10:00:00.123456", "1969-12-31 23:59:59.999999"):
+            df = spark.sql(f"select timestamp_ntz'{wall}' as t")
+            if stored != "timestamp_ntz":
+                instant = F.lit(f"{wall} UTC").cast("timestamp")
+                df = df.select((instant if stored == "timestamp" else F.unix_micros(instant) * 1000 + 789).alias("t"))
+            got = without_zone(df, "t")
+            assert got.schema["t"].dataType.simpleString() == "timestamp_ntz"
+            assert str(got.first()["t"]) == wall
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", saved)
 
 
 def test_time_ordered_write_prunes(spark, tmp_path):

@@ -52,11 +52,27 @@ def test_weekly_totals_combine_before_the_shuffle(spark):
     assert "partial_sum" in text
 
 
-def test_sessions_of_quiet_users_are_shuffled_once(spark):
-    """Only sums move again after the ordering; the list of busy user-weeks is broadcast."""
-    text = final_plan(gaps.session_regularity(Inputs(spark, SF).obs))
-    assert "BroadcastHashJoin LeftOuter" in text
-    assert "partial_sum" in text
+def scans(df) -> int:
+    """Scans of the fact table in the plan before adaptive execution, reused ones once."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return len(re.findall(r"FileScan parquet [^\n]*events\.parquet", text))
+
+
+def test_gaps_take_one_scan_and_one_large_shuffle(spark, static_shuffle_plans):
+    df = gaps.session_regularity(Inputs(spark, SF).obs)
+    assert scans(df) == 1
+    # The sessions move by slice; what moves by user-week is one row per slice.
+    assert len(shuffles(df)) == 2, shuffles(df)
+
+
+def test_weekly_features_scan_the_sessions_five_times(spark, static_shuffle_plans):
+    """Profile, gaps, games, medians, and the baseline window."""
+    assert scans(QUERIES["weekly_features"].run(spark, SF)) <= 5
+
+
+def test_late_period_is_pushed(spark):
+    text = plan(QUERIES["pivot_late_exit_by_persona"].run(spark, SF))
+    assert "GreaterThanOrEqual(ts,2024-01-22" in text
 
 
 def shuffles(df) -> list[str]:
@@ -78,8 +94,8 @@ def static_shuffle_plans(spark):
 
 def test_weekly_parts_join_without_a_shuffle(spark, static_shuffle_plans):
     found = shuffles(QUERIES["weekly_features"].run(spark, SF))
-    # By (user, week): profile; counts, edges and sums of the gaps; games; and the totals
-    # behind the medians, whose second use is a reused exchange.
+    # By (user, week): profile; slices of the gaps; games, genres; and the totals behind
+    # the medians, whose further uses are reused exchanges.
     assert found.count("user_id, week_num") <= 8, found
     # By user: the merged weeks, baseline, users, subscriptions, payments.
     assert found.count("user_id") == 5, found

@@ -55,7 +55,7 @@ def test_query_equals_sql(inputs, con, name):
 
 
 def test_matrix_shape(inputs):
-    rows = QUERIES["sequence_matrix"].on(inputs).collect()
+    rows = inputs.sequence.collect()
     assert len(rows) == 150
     assert all(len(r["X"]) == 4 and {len(w) for w in r["X"]} == {38} for r in rows)
 

@@ -9,6 +9,7 @@ from fixture import day, session_row, tables
 
 from ebbtide import WindowConfig, schema
 from ebbtide.plans.weekly import weekly_features
+from ebbtide.sources.sinks import Staging
 
 CFG = WindowConfig()
 
@@ -168,7 +169,6 @@ def test_baseline_ratio(edge):
     assert edge["D", 2]["playtime_vs_baseline"] == pytest.approx((2491 / 60) / (31 / 4))
 
 
-def test_staging_does_not_change_the_result(spark, base):
-    from ebbtide.sources.sinks import checkpointed
-
-    assert by_user_week(weekly_features(tables(spark), CFG, stage=checkpointed)) == base
+def test_staging_does_not_change_the_result(spark, base, tmp_path):
+    with Staging(spark, str(tmp_path)) as stage:
+        assert by_user_week(weekly_features(tables(spark), CFG, stage=stage)) == base
