@@ -166,7 +166,8 @@ def judge(
     )
     labelled = read.where("rule is not null").select("tokens", verdict_of(F.col("rule"), fixed).alias("verdict"))
     rules = mine(labelled, **options)
-    mined = matched(read.where("rule is null").select("tokens").distinct(), rules)
+    # Stored, so that the join is one of plain tables, whose large partitions Spark splits.
+    mined = staged(matched(read.where("rule is null").select("tokens").distinct(), rules), "mined")
     return read.join(mined, "tokens", "left").select(
         key,
         "host",
