@@ -8,8 +8,8 @@ right one and updates the three leaves it touches, each along one path to the ro
 
 Short matches are merged together: one forest of equally large trees in arrays, a step
 of which does one merge in every tree that still has a pair. A long match has a tree of
-its own. A Python worker keeps what it has merged, up to a number of entries, and merges
-again what it has dropped, so memory is bounded and the results don't depend on it.
+its own. A task keeps what it has merged, up to a number of entries, and merges again what
+it has dropped, so memory is bounded and the results don't depend on it.
 
 Defined results: null is encoded as the empty text, which has no token; bytes that are
 no UTF-8 become U+FFFD; the rank file has all 256 single bytes; rows are independent,
@@ -21,7 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -35,7 +35,7 @@ from ebbtide.llm.shared import ROW, map_texts, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 FOREST_BYTES = 64
-KEPT = 1_000_000
+KEPT = 100_000
 BATCH = 500
 NONE = np.iinfo(np.int32).max
 # A match never goes on over a space that a character other than white space follows.
@@ -55,15 +55,19 @@ class Vocabulary:
         self.token = {i: t for t, i in ranks.items()}
         self.text = {i: str(i) for i in self.token}
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        pairs = {
-            (ranks[t[:k]] << 32 | ranks[t[k:]]): i
+        pairs = (
+            (ranks[t[:k]] << 32 | ranks[t[k:]], i)
             for t, i in ranks.items()
             for k in range(1, len(t))
             if t[:k] in ranks and t[k:] in ranks
-        }
-        self.pair = pairs
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
+        )
+        packed = np.fromiter(chain.from_iterable(pairs), np.int64).reshape(-1, 2)
+        self.pair_keys, self.pair_ranks = packed[np.argsort(packed[:, 0])].T.copy()
+
+    @cached_property
+    def pair(self) -> dict[int, int]:
+        """Ranks of pairs by key, for one long match at a time."""
+        return dict(zip(self.pair_keys.tolist(), self.pair_ranks.tolist(), strict=True))
 
     def leaves(self, left: np.ndarray, right: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
         """What the leaves at positions ``at`` hold; ids below 0 stand for no token."""
@@ -175,8 +179,8 @@ class Vocabulary:
 class Encoder:
     """Encodes and decodes texts; keeps the ids of what it has merged, as packed numbers."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, kept: int = KEPT) -> None:
-        self.vocabulary = Vocabulary(ranks)
+    def __init__(self, vocabulary: Vocabulary, pattern: str = public_tokenizers.PATTERN, kept: int = KEPT) -> None:
+        self.vocabulary = vocabulary
         self.matches = regex.compile(pattern).findall
         self.kept = kept
         self.parts: dict[str, bytes] = {}
@@ -234,9 +238,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def _encoder(file: bytes, pattern: str) -> Encoder:
-    """One encoder per Python worker, which serves many tasks."""
-    return Encoder({base64.b64decode(t): int(r) for t, r in map(bytes.split, file.splitlines())}, pattern)
+def _vocabulary(file: bytes) -> Vocabulary:
+    """One vocabulary per Python worker, which serves many tasks."""
+    return Vocabulary({base64.b64decode(t): int(r) for t, r in map(bytes.split, file.splitlines())})
 
 
 def _held(spark: SparkSession, path: str):
@@ -268,7 +272,7 @@ def encode(
     names = fields.names
 
     def start():
-        encoder = _encoder(held.value, pattern)
+        encoder = Encoder(_vocabulary(held.value), pattern)
         make = {
             "ids": lambda ids: ids,
             "n_tokens": len,
@@ -298,7 +302,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "text") -> Dat
 
     @F.pandas_udf("string")
     def decoded(column):
-        token = _encoder(held.value, public_tokenizers.PATTERN).decode
+        token = Encoder(_vocabulary(held.value)).decode
         return column.map(lambda x: None if x is None else token(list(x)).decode("utf-8", "replace"))
 
     return df.withColumn(out, decoded(F.col(ids)))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ebbtide.llm.shared import ROW, packed, staged, table, unpacked
+from ebbtide.llm.shared import ROW, packed, small_batches, staged, table, unpacked
 
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
@@ -124,6 +124,7 @@ def scan(
     """Rows ``(doc, n_words, n_hit, items, spans)``: ``doc`` holds the row's own columns
     (or ``row``), ``items`` the ids of occurring items as sorted text, ``spans`` the
     half-open ranges of hit words."""
+    small_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     frame = docs.select(
         (packed(docs) if row is None else row).alias(ROW),

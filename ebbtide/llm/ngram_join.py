@@ -48,15 +48,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ebbtide.llm.graph import components
-from ebbtide.llm.shared import staged, table
+from ebbtide.llm.shared import small_batches, staged, table
 
 SHINGLE = 5
 PERCENT = 75
 FREQUENT = 1 << 18  # most tokens in the broadcast list of frequent ones
 LEAST_DF = 8  # documents a token must be in to be listed
 BUCKET_TOKENS = 1 << 18
-FLUSH = 1 << 21
-WORDS_KEPT = 1 << 18
+FLUSH = 1 << 20
+WORDS_KEPT = 1 << 17
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ORDERS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
@@ -386,6 +386,7 @@ def clusters(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """Rows ``(id, text_hash, node, n, root)``, one per row of ``docs``: size of its set
     and the key of its component (``root`` is null without shingles)."""
     spark = docs.sparkSession
+    small_batches(spark)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     bits = min(24, max(2, math.ceil(math.log2(max(1, size / 6 / BUCKET_TOKENS)))))
     first = staged(_nodes_and_counts(docs, doc_id, text, bits), "nodes")
@@ -443,7 +444,8 @@ def _open_pairs(index: DataFrame, found: DataFrame, tested: DataFrame) -> DataFr
 def join_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows ``(<doc_id>, n_shingles, component_id)``, one per row of ``docs``."""
     placed = staged(clusters(docs, doc_id, text), "placed")
-    least = placed.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
+    # Stored, so that the join is one of plain tables, whose large partitions Spark splits.
+    least = staged(placed.where("root is not null").groupBy("root").agg(F.min("id").alias("least")), "least")
     return placed.join(least, "root", "left").select(
         F.col("id").alias(doc_id),
         F.col("n").alias("n_shingles"),
@@ -455,7 +457,8 @@ def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """The documents of ``docs`` with all columns, one of each component: that of the
     smallest id, then text hash. Documents without words stay."""
     placed = staged(clusters(docs, doc_id, text), "placed").where("root is not null")
-    least = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("least"))
+    first_row = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash"))
+    least = staged(placed.groupBy("root").agg(first_row.alias("least")), "least")
     members = placed.groupBy("root", "id", "text_hash").agg(F.count("*").alias("copies")).join(least, "root")
     first = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("text_hash") == F.col("least.text_hash"))
     members = staged(members.select("id", "text_hash", "copies", first.alias("first")), "members")

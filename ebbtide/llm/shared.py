@@ -14,6 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ebbtide.sources.sinks import ensure_checkpoint_dir
 
 ROW = "doc"
+BATCH_ROWS = 2_000  # rows of whole texts that a Python worker holds at a time
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,13 @@ def unpacked(df: DataFrame, *more: str) -> DataFrame:
     return df.select(*[F.col(ROW)[f].alias(f) for f in fields], *more)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send whole texts to Python workers in batches that fit beside an executor's heap."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 Texts = list[bytes | None]
 
 
@@ -60,6 +68,7 @@ def map_texts(
     ``start`` runs once a task. Texts arrive as UTF-8 bytes, so that bytes which are
     no valid UTF-8 don't end the task; null stays ``None``.
     """
+    small_batches(df.sparkSession)
     packed_row = (packed(df) if row is None else row).alias(ROW)
     source = df.select(packed_row, text.cast("binary").alias("text"))
     schema = T.StructType([source.schema[ROW], *fields])

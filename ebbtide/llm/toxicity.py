@@ -40,7 +40,7 @@ TERMS = 4_000  # most mined terms
 LEAST_TEXTS, LEAST_SHARE = 3, 0.004  # toxic texts that a mined term must occur in, and their share
 LEAST_ODDS = 12.0
 STEMS = (4, 5, 6)
-WORDS_KEPT = 500_000
+WORDS_KEPT = 150_000
 TIE = 0.01  # share of the uncalibrated score, which orders equal calibrated ones
 
 # Common insults, and words for the second person.

@@ -52,7 +52,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ebbtide.llm.shared import shared_path, table
+from ebbtide.llm.shared import shared_path, small_batches, table
 
 FILE_BYTES = 256 << 20  # a new file after so much
 SPLIT_BYTES = 32 << 20  # at least between two offsets where a reader may start
@@ -380,6 +380,7 @@ def records(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
 
 
 def write_warc(df: DataFrame, path: str) -> None:
+    small_batches(df.sparkSession)
     df.sparkSession.dataSource.register(WarcDataSource)
     df.write.format("warc").mode("append").save(path)
 
