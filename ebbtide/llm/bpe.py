@@ -274,7 +274,6 @@ def encode(
     def start():
         encoder = Encoder(_vocabulary(held.value), pattern)
         make = {
-            "ids": lambda ids: ids,
             "n_tokens": len,
             "ids_sha256": lambda ids: hashlib.sha256(encoder.joined(ids).encode()).hexdigest(),
             "decoded": encoder.decode,
@@ -287,7 +286,8 @@ def encode(
                 for ids in encoder.encode([decoded_text(t) for t in texts[k : k + BATCH]]):
                     numbers = ids.tolist()
                     for cell, name in zip(out, names, strict=True):
-                        cell.append(make[name](numbers))
+                        # Ids stay packed until the batch is sent.
+                        cell.append(ids if name == "ids" else make[name](numbers))
             return out
 
         return work
