@@ -84,7 +84,8 @@ def fit_text_model(labelled: DataFrame, text: str = "text", lang: str = "lang",
     """From rows with a text and its language."""
     own = labelled.select(F.col(text).cast("binary").alias("text"), F.col(lang).alias("lang"))
     own = own.where("length(text) > 0 and lang is not null").withColumn("hash", F.xxhash64("text"))
-    sizes = own.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    # Distinct texts, as the hash chooses among those: copies must not thin the sample.
+    sizes = own.groupBy("lang").agg(F.count_distinct("hash").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
         return TextModel([], np.full((CELLS, 1), -np.log(CELLS)))

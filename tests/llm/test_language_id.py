@@ -92,6 +92,18 @@ def test_held_out_accuracy(documents):
     assert right >= 0.98 * test.count()
 
 
+def test_copies_do_not_thin_the_sample(spark):
+    rows = [("hola que tal", "es")] * 3000 + [(f"uno{i} dos tres", "es") for i in range(40)]
+    rows += [(f"one{i} two three", "en") for i in range(40)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    once = m.fit_text_model(df.distinct(), sample=30)
+    model = m.fit_text_model(df, sample=30)
+    for text in (b"hola que tal", b"uno7 dos tres", b"one7 two three", b"quatro"):
+        assert model.evidence(text, False) == once.evidence(text, False)
+    spanish, none = model.languages.index("es"), len(model.languages)
+    assert model.evidence(b"dos tres", False)[spanish] > model.evidence(b"dos tres", False)[none]
+
+
 def test_empty_tables(spark, documents, model):
     none = documents.limit(0)
     assert m.identify(none, model, declared=F.col("lang"), host=F.col("source")).count() == 0
