@@ -7,7 +7,9 @@ For every language ``l`` and for none of them (``und``), the log posterior of a
 * ``text``: log likelihood of the letter trigrams of the whole text, as a mean times the
   number of trigrams up to ``EVIDENCE``, since neighbouring trigrams aren't independent.
   Trigrams go to a fixed number of hash cells. The counts come from about ``SAMPLE``
-  distinct labelled texts per language, chosen by hash; ``und`` spreads evenly.
+  distinct labelled texts per language, chosen by hash; ``und`` spreads evenly. Every
+  language with a label is modelled; beyond ``DENSE`` of them the table holds only the
+  cells that occur in a language.
 * ``P(l | host)``: shares of the text posteriors of the host's other rows, smoothed
   towards those of its domain, smoothed towards those of all rows. The sums are grouped
   aggregates over all rows; a row's own share is taken out of them.
@@ -27,6 +29,7 @@ empty table; further columns pass.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,11 +43,12 @@ from ebbtide.llm.url_rules import host_of
 
 CELLS = 1 << 16
 SAMPLE = 2_000
-LANGUAGES = 64  # most languages to tell apart
+DENSE = 64  # most languages whose table has every cell
+HELD = 1 << 20  # trigrams that a task counts at a time
 EVIDENCE = 60
 PSEUDO = 0.1  # added to every trigram count
 HOST_WEIGHT, DOMAIN_WEIGHT, OTHER_WEIGHT = 4.0, 8.0, 20.0  # rows that smoothing stands for
-BROADCAST_HOSTS = 100_000
+BROADCAST_HOSTS = 100_000  # with up to DENSE languages, fewer with more
 NONE = "und"
 
 MARKUP = re.compile(rb"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>|&#?\w+;")
@@ -66,17 +70,39 @@ def cells(raw: bytes | None, markup: bool) -> np.ndarray:
     return (key ^ (key >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(16)
 
 
+@dataclass(frozen=True)
+class Sparse:
+    """A table of log likelihoods, of which most cells hold a column's lowest value."""
+
+    lowest: np.ndarray  # by column
+    start: np.ndarray  # of a cell in the next two
+    column: np.ndarray
+    above: np.ndarray  # what the cell has over the lowest value
+
+    def total(self, found: np.ndarray) -> np.ndarray:
+        """Sum of the rows of the cells found."""
+        cell, times = np.unique(found, return_counts=True)
+        size = self.start[cell + 1] - self.start[cell]
+        at = np.arange(size.sum()) + np.repeat(self.start[cell] - (np.cumsum(size) - size), size)
+        above = np.bincount(self.column[at], self.above[at] * np.repeat(times, size), len(self.lowest))
+        return above + len(found) * self.lowest
+
+
 @dataclass(frozen=True)
 class TextModel:
     languages: list[str]  # sorted, without ``und``
-    table: np.ndarray  # log likelihood by cell and language, ``und`` last
+    table: np.ndarray | Sparse  # log likelihood by cell and language, ``und`` last
 
     def evidence(self, raw: bytes | None, markup: bool) -> list[float]:
         found = cells(raw, markup)
         if not len(found):
             return [0.0] * (len(self.languages) + 1)
-        counts = np.bincount(found, minlength=CELLS) if len(found) > CELLS else None
-        total = self.table[found].sum(axis=0) if counts is None else counts @ self.table
+        if isinstance(self.table, Sparse):
+            total = self.table.total(found.astype(np.int64))
+        elif len(found) > CELLS:
+            total = np.bincount(found, minlength=CELLS) @ self.table
+        else:
+            total = self.table[found].sum(axis=0)
         return (total / len(found) * min(len(found), EVIDENCE)).tolist()
 
 
@@ -85,46 +111,75 @@ def fit_text_model(labelled: DataFrame, text: str = "text", lang: str = "lang",
     own = labelled.select(F.col(text).cast("binary").alias("text"), F.col(lang).alias("lang"))
     own = own.where("length(text) > 0 and lang is not null").withColumn("hash", F.xxhash64("text"))
     # Distinct texts, as the hash chooses among those: copies must not thin the sample.
-    sizes = own.groupBy("lang").agg(F.count_distinct("hash").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    sizes = own.groupBy("lang").agg(F.count_distinct("hash").alias("n")).orderBy("lang").collect()
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
         return TextModel([], np.full((CELLS, 1), -np.log(CELLS)))
-    every = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(max(1, r["n"] // sample))) for r in sizes])
+    strides = {r["lang"]: max(1, r["n"] // sample) for r in sizes}
+    every = F.element_at(_by_name({l: F.lit(k) for l, k in strides.items()}), F.col("lang"))
     chosen = own.where(F.pmod("hash", every) == 0).groupBy("lang", "hash").agg(F.first("text").alias("text"))
+    place = {l: i for i, l in enumerate(languages)}
 
     def count(batches):
-        counts = {}
+        held, size = [], 0
+
+        def counted():
+            key, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n, pa.int64())], ["key", "n"])
+
         for batch in batches:
             for l, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums = counts.setdefault(l, np.zeros(CELLS, np.int64))
-                sums += np.bincount(cells(raw, False), minlength=CELLS)
-        for l, sums in counts.items():
-            at = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([l] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(sums[at], pa.int64())],
-                ["lang", "cell", "n"],
-            )
-
-    sums = chosen.select("lang", "text").mapInArrow(count, "lang string, cell long, n long")
-    sums = sums.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()  # at most LANGUAGES * CELLS short rows
-    counts = np.zeros((CELLS, len(languages)))
-    column = np.array([languages.index(l) for l in sums.column("lang").to_pylist()], np.int64)
-    counts[sums.column("cell").to_numpy(), column] = sums.column("n").to_numpy()
-    known = np.log((counts + PSEUDO) / (counts.sum(axis=0) + PSEUDO * CELLS))
-    return TextModel(languages, np.column_stack([known, np.full(CELLS, -np.log(CELLS))]))
+                held.append(cells(raw, False).astype(np.int64) + place[l] * CELLS)
+                size += len(held[-1])
+                if size >= HELD:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
+
+    sums = chosen.select("lang", "text").mapInArrow(count, "key long, n long")
+    sums = sums.groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # a short row per cell that a language has
+    return TextModel(languages, _table(sums.column("key").to_numpy(), sums.column("n").to_numpy(), len(languages)))
+
+
+def _table(key: np.ndarray, n: np.ndarray, languages: int) -> np.ndarray | Sparse:
+    """From the counts by ``language * CELLS + cell``; ``und`` is the last column."""
+    column, cell = key // CELLS, key % CELLS
+    total = np.bincount(column, n, languages) + PSEUDO * CELLS
+    if languages <= DENSE:
+        counts = np.zeros((CELLS, languages))
+        counts[cell, column] = n
+        return np.column_stack([np.log((counts + PSEUDO) / total), np.full(CELLS, -np.log(CELLS))])
+    by = np.lexsort((column, cell))
+    column, cell, n = column[by], cell[by], n[by]
+    lowest = np.append(np.log(PSEUDO / total), -np.log(CELLS))
+    start = np.searchsorted(cell, np.arange(CELLS + 1))
+    return Sparse(lowest, start, column.astype(np.int32), np.log((n + PSEUDO) / PSEUDO))
+
+
+def _by_name(values: dict[str, Column]) -> Column:
+    """A constant map."""
+    return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v)])
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``; an inner function would evaluate ``value`` again for each element."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _total(values: Column, start: float = 0.0) -> Column:
+    return F.aggregate(values, F.lit(start), lambda a, x: a + x)
 
 
 def _softmax(logs: Column) -> Column:
-    top = F.array_max(logs)
-    powers = F.transform(logs, lambda x: F.exp(x - top))
-    total = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(powers, lambda x: x / total)
+    powers = _let(logs, lambda own: _let(F.array_max(own), lambda top: F.transform(own, lambda x: F.exp(x - top))))
+    return _let(powers, lambda own: _let(_total(own), lambda total: F.transform(own, lambda x: x / total)))
 
 
 def _smoothed(sums: Column, towards: Column, weight: float) -> Column:
     """Shares of ``sums``, to which ``weight`` rows of the given shares are added."""
-    size = F.aggregate(sums, F.lit(weight), lambda a, x: a + x)
-    return F.zip_with(sums, towards, lambda s, p: (s + weight * p) / size)
+    shares = lambda own, size: F.zip_with(own, towards, lambda s, p: (s + weight * p) / size)
+    return _let(sums, lambda own: _let(_total(own, weight), lambda size: shares(own, size)))
 
 
 def suffix_of(host: Column) -> Column:
@@ -191,11 +246,11 @@ def identify(
     suffixes = hosts.groupBy("suffix").agg(*again).select("suffix", array.alias("suffix_sums"))
     hosts = hosts.select("host", "suffix", domain_of(F.col("host")).alias("domain"), array.alias("host_sums"))
     hosts = staged(hosts.join(domains, "domain").join(suffixes, "suffix").drop("suffix", "domain"), "hosts")
-    if hosts.count() <= BROADCAST_HOSTS:
+    if hosts.count() * max(n, DENSE + 1) <= BROADCAST_HOSTS * (DENSE + 1):
         hosts = F.broadcast(hosts)
 
     rows = read(marks).select(f"{ROW}.*", "text", "share").join(hosts, "host", "left")
-    numbers = lambda v: F.array(*[F.lit(float(x)) for x in v])
+    numbers = lambda v: F.lit(np.asarray(v, np.float64))
     # Host prior: the other rows' shares, smoothed by those of the domain, by those of all.
     less = lambda sums: F.zip_with(sums, F.col("share"), lambda s, p: F.greatest(s - p, F.lit(0.0)))
     prior = numbers(overall)
@@ -203,15 +258,18 @@ def identify(
         prior = _smoothed(less(F.coalesce(F.col(level), F.col("share"))), prior, weight)
     logs = F.zip_with("text", prior, lambda t, p: t + F.log(p))
     # Suffix: its rows' shares by language against all rows of the language.
-    part = F.aggregate("suffix_sums", F.lit(0.0), lambda a, x: a + x) / F.lit(float(max(total.sum(), 1.0)))
-    suffix = F.zip_with("suffix_sums", numbers(total), lambda s, t: F.log((s + OTHER_WEIGHT * part) / (t + OTHER_WEIGHT)))
+    part = _total(F.col("suffix_sums")) / F.lit(float(max(total.sum(), 1.0)))
+    of_all = lambda p: F.zip_with("suffix_sums", numbers(total), lambda s, t: F.log((s + OTHER_WEIGHT * p) / (t + OTHER_WEIGHT)))
+    suffix = _let(part, of_all)
     logs = F.zip_with(logs, F.coalesce(suffix, numbers([0.0] * n)), lambda a, b: a + b)
     # Declared language: the same, from a table of at most one row per language and one.
     said = sum(by_declared.values(), np.zeros(n))
-    spoken = numbers([0.0] * n)
+    spoken = {}
     for value, own in by_declared.items():
         part_said = own.sum() / max(said.sum(), 1.0)
-        spoken = F.when(F.col("declared") == value, numbers(np.log((own + OTHER_WEIGHT * part_said) / (said + OTHER_WEIGHT)))).otherwise(spoken)
+        spoken[value] = numbers(np.log((own + OTHER_WEIGHT * part_said) / (said + OTHER_WEIGHT)))
+    spoken = F.element_at(_by_name(spoken), F.col("declared")) if spoken else F.lit(None)
+    spoken = F.coalesce(spoken, numbers([0.0] * n))
     logs = F.zip_with(logs, spoken, lambda a, b: a + b)
     judged = rows.select(ROW, "declared", "text", _softmax(logs).alias("posterior"))
     best = F.array_max("posterior")

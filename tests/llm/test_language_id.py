@@ -104,6 +104,22 @@ def test_copies_do_not_thin_the_sample(spark):
     assert model.evidence(b"dos tres", False)[spanish] > model.evidence(b"dos tres", False)[none]
 
 
+def test_every_labelled_language_is_modelled(spark, monkeypatch):
+    word = lambda i, k: "".join(chr(0x4E00 + 40 * i + (7 * k + j) % 40) for j in range(6))
+    rows = [(f"{word(i, k)} {word(i, k + 1)} " * 8, f"l{i:03}", f"h{i % 9}.org") for i in range(90) for k in range(3 if i else 9)]
+    df = spark.createDataFrame(rows, "text string, lang string, source string").repartition(3)
+    kept = m.with_known_language(df)
+    assert kept.count() == len(rows) and kept.select("lang").distinct().count() == 90
+    model = m.fit_text_model(df)
+    assert isinstance(model.table, m.Sparse)
+    monkeypatch.setattr(m, "DENSE", 1000)
+    dense = m.fit_text_model(df)
+    for text in (rows[0][0], rows[100][0], "abc " + rows[50][0] * 1000):
+        assert np.allclose(model.evidence(text.encode(), False), dense.evidence(text.encode(), False), atol=1e-6)
+    found = m.identify(df, model, declared=F.col("lang"), host=F.col("source"))
+    assert found.where("doc.lang != language or not accepted").count() == 0
+
+
 def test_empty_tables(spark, documents, model):
     none = documents.limit(0)
     assert m.identify(none, model, declared=F.col("lang"), host=F.col("source")).count() == 0
