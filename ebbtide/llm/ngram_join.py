@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ebbtide.llm.graph import components
-from ebbtide.llm.shared import small_batches, staged, table
+from ebbtide.llm.shared import shared_path, small_batches, staged, table
 
 SHINGLE = 5
 PERCENT = 75
@@ -57,6 +57,7 @@ LEAST_DF = 8  # documents a token must be in to be listed
 BUCKET_TOKENS = 1 << 18
 FLUSH = 1 << 20
 WORDS_KEPT = 1 << 17
+ROW_GROUP = 16 << 20  # bytes that a task buffers while it stores parcels
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ORDERS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
@@ -170,18 +171,17 @@ def _joined(group: pa.Table, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in group.column(name).to_pylist() if x), kind)
 
 
-def _nodes_and_counts(docs: DataFrame, doc_id: str, text: str, bits: int) -> DataFrame:
-    """Two kinds of rows, told apart by ``df``: documents ``(id, text_hash, node, n)``
-    and tokens ``(token, df)`` that at least ``LEAST_DF`` nodes or copies hold; a token
-    is given by its leading ``bits + 32`` bits."""
+def _nodes_and_counts(docs: DataFrame, doc_id: str, text: str, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Documents ``(id, text_hash, node, n)``, and tokens ``(token, df)`` that at least
+    ``LEAST_DF`` nodes or copies hold; a token is given by its leading ``bits + 32`` bits.
+    One pass over the texts stores the documents and the parcels of tokens; the parcels
+    alone are grouped, as copies of one text may be most of the documents."""
     source = docs.select(
         F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("binary").alias("text")
     )
     own = [source.schema["id"], *T.StructType.fromDDL("text_hash long, node binary, n long")]
     sent = T.StructType([*own, *T.StructType.fromDDL("bucket int, once binary, often binary, times binary")])
-    kept = T.StructType([*own, *T.StructType.fromDDL("token long, df long")])
     arrow = pa.schema([(f.name, k) for f, k in zip(sent, _kinds(sent), strict=True)])
-    out = pa.schema([(f.name, k) for f, k in zip(kept, _kinds(kept), strict=True)])
     names = ["once", "often", "times"]
     none = dict.fromkeys(sent.names)
     cut = np.uint64(32 - bits)
@@ -201,8 +201,7 @@ def _nodes_and_counts(docs: DataFrame, doc_id: str, text: str, bits: int) -> Dat
 
         for doc, text_hash, mine in _texts(batches):
             node = digest(mine)
-            rows.append(none | {"id": doc, "text_hash": text_hash, "node": node, "n": len(mine),
-                                "bucket": text_hash % (1 << bits)})
+            rows.append(none | {"id": doc, "text_hash": text_hash, "node": node, "n": len(mine)})
             if node is not None and node not in seen:
                 seen.add(node)
                 found.append(mine)
@@ -219,7 +218,6 @@ def _nodes_and_counts(docs: DataFrame, doc_id: str, text: str, bits: int) -> Dat
             yield pa.RecordBatch.from_pylist(list(counted()), arrow)
 
     def add_up(group: pa.Table) -> pa.Table:
-        documents = group.filter(pc.is_valid(group.column("n"))).select([f.name for f in own])
         bucket = group.column("bucket")[0].as_py()
         once, often = _joined(group, "once", np.uint32), _joined(group, "often", np.uint32)
         key, at = np.unique(np.concatenate([once, often]), return_inverse=True)
@@ -227,12 +225,14 @@ def _nodes_and_counts(docs: DataFrame, doc_id: str, text: str, bits: int) -> Dat
         df = np.bincount(at, times, len(key)).astype(np.int64)
         many = df >= LEAST_DF
         token = (np.int64(bucket) << np.int64(32)) | key[many].astype(np.int64)
-        listed = {"token": token, "df": df[many]}
-        rows = pa.table({f.name: listed.get(f.name, pa.nulls(len(token), f.type)) for f in out}, out)
-        blank = {f.name: pa.nulls(len(documents), f.type) for f in out if f.name in listed}
-        return pa.concat_tables([rows, pa.table({**{f.name: documents.column(f.name) for f in own}, **blank}, out)])
+        return pa.table({"token": token, "df": df[many]})
 
-    return source.mapInArrow(count, sent).groupBy("bucket").applyInArrow(add_up, kept)
+    path = shared_path(docs.sparkSession, "nodes")
+    source.mapInArrow(count, sent).write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    stored = docs.sparkSession.read.schema(sent).parquet(path)
+    parcels = stored.where("bucket is not null").select("bucket", *names)
+    found = parcels.groupBy("bucket").applyInArrow(add_up, "token long, df long")
+    return stored.where("n is not null").select([f.name for f in own]), found
 
 
 def _kinds(schema: T.StructType) -> list[pa.DataType]:
@@ -389,9 +389,9 @@ def clusters(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     small_batches(spark)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     bits = min(24, max(2, math.ceil(math.log2(max(1, size / 6 / BUCKET_TOKENS)))))
-    first = staged(_nodes_and_counts(docs, doc_id, text, bits), "nodes")
-    nodes = first.where("n is not null").select("id", "text_hash", "node", "n", _key("node").alias("key"))
-    top = first.where("df is not null").select("token", "df").orderBy(F.desc("df"), "token").limit(FREQUENT).toArrow()
+    nodes, counts = _nodes_and_counts(docs, doc_id, text, bits)
+    nodes = nodes.select("id", "text_hash", "node", "n", _key("node").alias("key"))
+    top = counts.orderBy(F.desc("df"), "token").limit(FREQUENT).toArrow()
     listed = [top.column(c).to_numpy().astype(k) for c, k in (("token", np.uint64), ("df", np.int64))]
     held = spark.sparkContext.broadcast((bits, *listed))
     index = staged(_index(docs, text, bits, held), "index")

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 
 from ebbtide.llm import ngram_join as m
@@ -169,3 +170,19 @@ def test_groups_of_hot_tokens_are_not_expanded(spark):
 def test_extra_columns_do_not_matter(few):
     plain = few.select("doc_id", "text")
     assert joined(plain) == joined(few.withColumn("root", F.lit(1)))
+
+
+def test_copies_are_no_group_of_a_worker(spark, monkeypatch):
+    """Only packed tokens go through ``applyInArrow``; rows of copies and null texts don't."""
+    sizes, apply = [], GroupedData.applyInArrow
+
+    def watched(self, func, schema):
+        sizes.append(self._df.count())
+        return apply(self, func, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInArrow", watched)
+    rows = [(i, "a copy of one text") for i in range(3000)] + [(i, None) for i in range(3000, 6000)]
+    rows += [(i, f"another text number {i} here") for i in range(9000, 9100)]
+    found = joined(frame(spark, rows, 3))
+    assert found == Counter((i, int(t is not None), 0 if i < 3000 else i) for i, t in rows)
+    assert len(sizes) == 2 and max(sizes) < 100
