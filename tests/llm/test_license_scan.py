@@ -54,3 +54,19 @@ def test_ranking_is_by_bytes_saved():
 
 def test_empty_table(documents):
     assert m.scan(documents.limit(0)).count() == 0
+
+
+def test_telling_words_decide():
+    scanner = m.Scanner(m.TEMPLATES)
+    for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause"):
+        text = m.TEMPLATES[name][-1]
+        for notice in (text, text.replace(". ", ".\n"), text.replace("program", "software")):
+            assert {n.license for n in scanner.scan(notice)} == {name}
+    lines = {"Licensed under CC BY-SA 3.0.": [], "Licensed under CC BY-NC-SA 4.0.": [], "Licensed under CC BY-ND 4.0.": [],
+             "This work is licensed under the GNU Affero General Public License, version 2.": [],
+             "This work is licensed under the GNU General Public License, version 2.0.": ["GPL-2.0"]}
+    assert {line: [n.license for n in scanner.scan(line)] for line in lines} == lines
+    gpl = m.TEMPLATES["GPL-3.0"][1]
+    assert scanner.scan(gpl.replace("version 3", "version 4")) == []
+    scanner = m.Scanner({"GPL-3.0": m.TEMPLATES["GPL-3.0"]})
+    assert scanner.notice(m.TEMPLATES["GPL-2.0"][1]) is scanner.notice(m.TEMPLATES["LGPL-3.0"][0]) is None
