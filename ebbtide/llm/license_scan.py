@@ -3,7 +3,7 @@
 Units of a text are its lines, cut after sentences. A unit is a candidate if most of its
 words occur in the templates; a block is a run of candidates with a license stem in it.
 Each block is compressed plain and with every template as a zstandard raw dictionary; the
-templates rank by how many bytes they save. The best few are compared with the block
+templates rank by how many bytes they save. In this order they are compared with the block
 word by word; one is confirmed if its wording differs little enough, and in none of the
 words that tell licenses apart (versions, Lesser, Affero, NonCommercial and the like). The
 first confirmed one whose telling words are all in the block wins; a block that leaves some
@@ -130,7 +130,6 @@ STEMS = ("licen", "copyright", "permission", "warrant", "redistribut", "public d
 SHARE = 0.6  # of a unit's words that must occur in templates
 DIFFERENT = 0.15  # of the words that may differ
 LEAST_WORDS = 3
-RANKED = 4  # templates compared word by word
 LEVEL = 3
 
 UNIT = re.compile(r"(?<=[.!?;:])\s+|\n+")
@@ -226,7 +225,7 @@ class Scanner:
         )
         told = frozenset().union(*telling(own))
         out = []
-        for saved, name, template in ranked[:RANKED]:
+        for saved, name, template in ranked:
             needed = self.telling[tuple(template)]
             if saved <= 0 or not told <= needed:
                 continue

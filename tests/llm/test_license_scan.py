@@ -70,3 +70,13 @@ def test_telling_words_decide():
     assert scanner.scan(gpl.replace("version 3", "version 4")) == []
     scanner = m.Scanner({"GPL-3.0": m.TEMPLATES["GPL-3.0"]})
     assert scanner.notice(m.TEMPLATES["GPL-2.0"][1]) is scanner.notice(m.TEMPLATES["LGPL-3.0"][0]) is None
+
+
+def test_all_templates_are_compared():
+    """Templates that save more bytes, but have the words in another order, hide none."""
+    own = [f"permission{37 * i % 101}x{i}" for i in range(40)]
+    near = {f"L{k}": (" ".join(own[20:] + own[:20] + [f"end{k}"]),) for k in range(5)}
+    true = own.copy()
+    true[10], true[30] = "some", "other"
+    scanner = m.Scanner({"Z": (" ".join(true),)} | near)
+    assert [n.license for n in scanner.notices(" ".join(own))] == ["Z"]
