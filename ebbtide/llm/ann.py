@@ -44,7 +44,6 @@ PACK, BLOCK = 16_384, 2_048
 SAMPLE = 64
 WIDTH = 1.5  # slot width in units of r
 SLOTS = 4  # slots to either side that a probe may move
-SPARE = 32  # more scores than k to recompute, so that rounding can't lose a tie
 
 
 @dataclass(frozen=True)
@@ -251,6 +250,9 @@ def _compared(mine: pa.Table, others: pa.Table, k: int) -> pa.Table:
         bucket, starts = np.unique(code, return_index=True)
         ends = np.append(starts[1:], len(code))
         scores = np.full((min(len(q), 256), len(x)), -np.inf)
+        # What two sums of the same products can differ by.
+        margin = 4 * x.shape[1] * np.finfo(x.dtype).eps * np.sqrt((x * x).sum(axis=1).max())
+        norm = np.sqrt((q * q).sum(axis=1))
         for first in range(0, len(q), 256):
             scores[:] = -np.inf
             here = (who >= first) & (who < first + 256)
@@ -260,10 +262,11 @@ def _compared(mine: pa.Table, others: pa.Table, k: int) -> pa.Table:
             for b in np.unique(number).tolist():
                 chosen, part = rows[number == b], slice(starts[b], ends[b])
                 scores[chosen, part] = q[first + chosen] @ x[part].T
-            wide = min(len(x), k + 1 + SPARE)
-            top = np.argpartition(-scores, wide - 1, axis=1)[:, :wide]
+            # Every row that may be among the best once scores are exact, the query's own besides.
+            after = max(0, len(x) - k - 1)
+            least = np.partition(scores, after, axis=1)[:, after]
             for i in range(min(256, len(q) - first)):
-                j = top[i][np.isfinite(scores[i, top[i]])]
+                j = np.flatnonzero((scores[i] >= least[i] - margin * norm[first + i]) & np.isfinite(scores[i]))
                 j = j[ids[j] != query[first + i]]
                 exact = (x[j] * q[first + i]).sum(axis=1)
                 j, exact = (v[_best(ids[j], exact, k)] for v in (j, exact))

@@ -92,3 +92,9 @@ def test_long_vectors_against_short_ones(spark, small_packs):
     got, expected = found(frame(spark, rows)), exact(rows)
     recall = np.mean([len({i for i, _ in got[q]} & {i for i, _ in expected[q]}) / 20 for q in expected])
     assert recall >= 0.9
+
+
+def test_many_ties_go_to_smaller_ids(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(i), [1.0] + [float(i == j) for j in range(200)]) for i in rng.permutation(200)]
+    assert found(frame(spark, rows)) == exact(rows)
