@@ -40,6 +40,7 @@ BATCH = 500
 NONE = np.iinfo(np.int32).max
 # A match never goes on over a space that a character other than white space follows.
 JOINT = re.compile(r"(?= \S)")
+LOOSE = re.compile(r" (?!\S)")  # a space of another kind
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -207,14 +208,12 @@ class Encoder:
         """Parts, each starting at a space, over whose ends no match goes; those not kept."""
         if not text:
             return [], set()
-        if "\0" not in text:
+        if "\0" not in text and not LOOSE.search(text):
             parts = text.replace(" ", "\0 ").split("\0")
             if not parts[0]:
                 del parts[0]
-            unseen = set(parts).difference(self.parts)
-            if all(p[0] != " " or len(p) > 1 and not p[1].isspace() for p in unseen):
-                return parts, unseen
-        parts = [p for p in JOINT.split(text) if p]
+        else:
+            parts = [p for p in JOINT.split(text) if p]
         return parts, set(parts).difference(self.parts)
 
     def _learn(self, new: set[str]) -> None:

@@ -84,3 +84,11 @@ def test_rank_files_of_any_size_are_not_broadcast(spark, tmp_path):
         f.truncate((64 << 20) + 1)
     with pytest.raises(ValueError, match="no rank file"):
         m._held(spark, str(tmp_path / "big"))
+
+
+def test_runs_of_spaces_do_not_depend_on_earlier_texts():
+    ranks = RANKS | {b"  ": len(RANKS)}
+    plain = tiktoken.Encoding("spaces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoder = m.Encoder(m.Vocabulary(ranks))
+    for text in ("x ", "a b", "a   b", "a\n   b  ", "  "):
+        assert encoder.encode([text])[0].tolist() == plain.encode_ordinary(text)
