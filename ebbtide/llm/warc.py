@@ -211,6 +211,8 @@ def _member(stream: Stream, size: int):
 
     def more(n: int) -> bool:
         nonlocal raw, at
+        if inflate.eof:
+            return False
         got = inflate.decompress(inflate.unconsumed_tail, n)  # what is left of earlier input
         if not got and not inflate.eof:
             stream.at = at
@@ -222,22 +224,39 @@ def _member(stream: Stream, size: int):
         raw += got
         return not inflate.eof
 
-    while b"\r\n\r\n" not in raw and more(4096):
-        pass
-    headers, begin = _headers(raw)
-    length = int(headers.get("content-length", 0))
-
-    def block(need: int | None = None) -> bytes:
-        until = begin + (length if need is None else min(need, length))
-        while len(raw) < until and more(max(4096, until - len(raw))):
-            pass
-        return raw[begin:until]
-
-    yield headers, length, block
-    if not size:  # no length: the end must be found by inflating
-        while not inflate.eof and more(1 << 16):
+    def drop(n: int) -> None:
+        """Pass over bytes and the line breaks behind them."""
+        nonlocal raw
+        while n > len(raw):
+            n, raw = n - len(raw), b""
+            if not more(1 << 16) and not raw:
+                return
+        raw = raw[n:]
+        while not (raw := raw.lstrip(b"\r\n")):
+            if not more(4096) and not raw:
+                return
+
+    while True:
+        while b"\r\n\r\n" not in raw and more(4096):
             pass
-        stream.at = at - len(inflate.unused_data)
+        headers, begin = _headers(raw)
+        length = int(headers.get("content-length", 0))
+
+        def block(need: int | None = None, begin: int = begin, length: int = length) -> bytes:
+            until = begin + (length if need is None else min(need, length))
+            while len(raw) < until and more(max(4096, until - len(raw))):
+                pass
+            return raw[begin:until]
+
+        yield headers, length, block
+        if size:
+            return
+        # No length: other tools may put several records into a member, whose end must be
+        # found by inflating.
+        drop(begin + length)
+        if not raw:
+            break
+    stream.at = at - len(inflate.unused_data)
 
 
 def _plain(stream: Stream):

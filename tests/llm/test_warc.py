@@ -90,6 +90,20 @@ def test_archives_of_other_tools(spark, tmp_path):
     assert len(only) == 2
 
 
+def test_members_of_several_records(spark, tmp_path):
+    records = [m.record(i, f"http://{i}/", b"p" * i * 30_000, hashlib.sha1(b"p" * i * 30_000).hexdigest(), i * 30_000, None) for i in range(6)]
+    (tmp_path / "several").mkdir()
+    (tmp_path / "several" / "a.warc.gz").write_bytes(gzip.compress(b"".join(records)))
+    (tmp_path / "several" / "b.warc.gz").write_bytes(gzip.compress(b"".join(records[:4])) + gzip.compress(b"".join(records[4:])))
+    rows = m.read_warc(spark, str(tmp_path / "several"))
+    assert sorted(len(r["payload"]) for r in rows.collect()) == sorted([i * 30_000 for i in range(6)] * 2)
+    assert rows.where(F.col("record_id") == "urn:page:5").count() == 2
+    cut = gzip.compress(b"".join(records))[:-40]  # ends without the end of the member
+    (tmp_path / "cut.warc.gz").write_bytes(cut)
+    with open(tmp_path / "cut.warc.gz", "rb") as f:
+        assert len(list(m._records(m.Stream(f, 0, len(cut))))) == 6
+
+
 def test_splits_and_new_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(m, "FILE_BYTES", 4000)
     monkeypatch.setattr(m, "SPLIT_BYTES", 900)
