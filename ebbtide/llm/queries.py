@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import ann, bpe, chat_format, decontaminate, language_id, license_scan, ngram_join, toxicity, url_rules, warc
+from ebbtide.llm import ann, bpe, chat_format, decontaminate, fingerprints, language_id, license_scan, ngram_join, toxicity, url_rules, warc
 
 QUERIES = {
     "op1_language_id": language_id.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.query,
     "op9_byte_bpe": bpe.query,
     "op10_ngram_join": ngram_join.query,
+    "op11_fingerprints": fingerprints.query,
 }
 
 SQL = {

@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ebbtide.llm import fingerprints as m
+from ebbtide.llm.ngram_join import Words, tokens
+
+SF = "/root/testdata/sf0.01"
+
+
+def shingles(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    for c in "\t\n\x0b\x0c\r":
+        words = words.replace(c, " ")
+    words = words.split(" ")
+    words = [w for w in words if w]
+    wide = min(5, len(words))
+    return {tuple(words[i : i + wide]) for i in range(len(words) - wide + 1)} if words else set()
+
+
+def rows(spark, texts, keys=None):
+    keys = range(len(texts)) if keys is None else keys
+    return spark.createDataFrame(list(zip(keys, texts, ["x"] * len(texts), strict=True)), "doc_id long, text string, fingerprint string")
+
+
+def test_query_against_brute_force(spark):
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()]
+    found = {r.doc_id: r for r in m.query(spark, SF).collect()}
+    assert len(found) == len(docs)
+    errors = []
+    for (key, text), (_, after) in zip(docs, docs[1:] + docs[:1], strict=True):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        row = found[key]
+        assert row.n_chars == len(text) and row.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        for name, whole in ((row.fingerprint, text), (row.edited_fingerprint, edited)):
+            reach, hashes = m.unpacked_sketch(name)
+            every = tokens(whole.encode(), Words())
+            assert len(every) == len(shingles(whole))
+            assert np.array_equal(hashes, every[every <= reach])
+            assert reach >= m.BELOW and (len(hashes) >= m.LEAST or reach == m.ALL)
+        a = shingles(text)
+        for near, other in ((row.near_edited, edited), (row.near_next, after)):
+            b = shingles(other)
+            errors.append(near - (len(a & b) / len(a) if a else float(a == b)))
+    assert np.abs(errors).mean() < 0.03 and np.abs(errors).max() < 0.5 and abs(np.mean(errors)) < 0.01
+
+
+@pytest.mark.parametrize("parts", ["1", "3", "64"])
+def test_order_and_edges(spark, parts):
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        texts = ["", None, "a b c d e f g h", "one", "é" * 7, "a b c d e f g h", "x " * 40_000 + "end"]
+        keys = [50, -3, 7, 8, 1000, 9, 20]
+        found = {r.doc_id: r for r in m.edited_fingerprints(rows(spark, texts, keys)).collect()}
+        order = sorted(zip(keys, [t or "" for t in texts], strict=True))
+        assert sorted(found) == sorted(keys)
+        for (key, text), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+            half = len(text) // 2
+            edited = text[: len(text) - half] + after[:half]
+            assert found[key].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert found[7].fingerprint == found[9].fingerprint and found[50].fingerprint == found[-3].fingerprint
+        assert found[-3].near_edited == 1.0 and found[50].near_next == 0.0
+        one = m.edited_fingerprints(rows(spark, ["a b c d"])).collect()
+        assert one[0].near_next == 1.0 and one[0].edited_sha256 == hashlib.sha256(b"a b a b").hexdigest()
+        assert m.edited_fingerprints(rows(spark, [])).collect() == []
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
+
+
+def test_rows_without_key_and_repeated_rows(spark):
+    got = m.edited_fingerprints(rows(spark, ["b b", "a a", "q", "b b"], [1, 1, None, 1])).collect()
+    halves = sorted(r.edited_sha256 for r in got)
+    expected = [hashlib.sha256(t).hexdigest() for t in (b"a b", b"b b", b"b a")]
+    assert halves == sorted(expected)
+
+
+def test_merging_equals_the_sketch_of_the_union():
+    rng = random.Random(3)
+    for _ in range(200):
+        a, b = (np.unique(np.array([rng.getrandbits(64) for _ in range(rng.choice((0, 5, 31, 40, 200, 900)))], np.uint64)) for _ in range(2))
+        reach, hashes = m.merge(m.kept(a), m.kept(b))
+        expected = m.kept(np.union1d(a, b))
+        assert reach == expected[0] and np.array_equal(hashes, expected[1])
+
+
+def test_containment_of_unequal_texts(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    large = " ".join(rng.choice(words) for _ in range(20_000))
+    small = " ".join(large.split(" ")[4000:5000])
+    other = " ".join(rng.choice(words) for _ in range(1000))
+    made = m.with_fingerprint(rows(spark, [large, small, other, None]), out="print")
+    prints = {r.doc_id: r["print"] for r in made.collect()}
+    assert made.columns == ["doc_id", "text", "fingerprint", "print"]
+    pairs = spark.createDataFrame([(prints[1], prints[0]), (prints[0], prints[1]), (prints[2], prints[0]), (prints[3], prints[3]), (None, prints[1])], "a string, b string")
+    share = [r[0] for r in pairs.select(m.contained("a", "b")).collect()]
+    assert share[0] == 1.0 and 0.02 < share[1] < 0.1 and share[2] == 0.0 and share[3] == 1.0 and share[4] is None
+    groups = m.merged(made.withColumn("g", F.col("doc_id") % 2), ["g"], "print")
+    expected = set()
+    for t in (large, other):
+        every = tokens(t.encode(), Words())
+        expected |= set(every[every <= m.BELOW].astype(np.int64).tolist())
+    assert {r["hash"] for r in groups.where("g = 0").collect()} == expected
