@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import ann, bpe, chat_format, decontaminate, fingerprints, language_id, license_scan, ngram_join, toxicity, url_rules, warc
+from ebbtide.llm import ann, bpe, chat_format, collocations, decontaminate, fingerprints, hard_negatives, language_id, license_scan, ngram_join, toxicity, url_rules, warc
 
 QUERIES = {
     "op1_language_id": language_id.query,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_byte_bpe": bpe.query,
     "op10_ngram_join": ngram_join.query,
     "op11_fingerprints": fingerprints.query,
+    "op12_collocations": collocations.query,
+    "op13_hard_negatives": hard_negatives.query,
 }
 
 SQL = {
@@ -23,4 +25,6 @@ SQL = {
     "op4_decontamination": decontaminate.SQL,
     "op8_warc": warc.SQL,
     "op10_ngram_join": ngram_join.SQL,
+    "op12_collocations": collocations.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }

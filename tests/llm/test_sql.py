@@ -14,7 +14,7 @@ NAMES = [n for n in oracle_sql() if n.startswith("op")]
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in "documents pages benchmark conversations".split():
+    for table in "documents embeddings pages benchmark conversations".split():
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     df = queries()[name](spark, SF)
     twin = con.execute(oracle_sql()[name])
