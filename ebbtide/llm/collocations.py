@@ -299,7 +299,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
     counts = staged(counted(source, 1), "words")
     words = counts.where("phrase != ''")
     frequent = bitmap(words, word_hash("phrase"))
-    pairs = staged(pairs_of(counted(source, 2, frequent), words), "pairs")
+    pairs = staged(pairs_of(staged(counted(source, 2, frequent), "pair_counts"), words), "pairs")
     known_pairs = bitmap(pairs, two_words("phrase"))
 
     bound = F.expr(f"CAST({MILLION} AS DECIMAL(7,0)) * CAST(longer AS DECIMAL(19,0)) DIV CAST(l AS DECIMAL(19,0))")
