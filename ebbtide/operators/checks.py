@@ -7,6 +7,7 @@ aggregation; nothing is collected.
 from __future__ import annotations
 
 import operator
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +20,7 @@ from ebbtide.operators.quantiles import exact_quantiles
 from ebbtide.schema import KEYS
 
 
-def _verdict(df: DataFrame, name: str | Column, n_checked: Column, n_violations: Column) -> DataFrame:
+def verdict(df: DataFrame, name: str | Column, n_checked: Column, n_violations: Column) -> DataFrame:
     n_violations = F.coalesce(n_violations, F.lit(0)).cast("long")
     return df.select(
         (F.lit(name) if isinstance(name, str) else name).alias("check_name"),
@@ -52,13 +53,13 @@ def row_count(weekly: DataFrame, users: DataFrame, cfg: WindowConfig) -> DataFra
     """Each user of the user table has one row per week and nobody else has any."""
     off = F.count_if(F.col("n_weekly") != F.col("n_users") * cfg.obs_periods)
     sums = _outer_counts(weekly=weekly, users=users).agg(F.sum("n_weekly").alias("n"), off.alias("off"))
-    return _verdict(sums, "row_count", F.col("n"), F.col("off"))
+    return verdict(sums, "row_count", F.col("n"), F.col("off"))
 
 
 def unique_key(weekly: DataFrame) -> DataFrame:
     keys = weekly.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
     sums = keys.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("dup"))
-    return _verdict(sums, "unique_key", F.col("n"), F.col("dup"))
+    return verdict(sums, "unique_key", F.col("n"), F.col("dup"))
 
 
 def uniform_weeks(weekly: DataFrame, cfg: WindowConfig) -> DataFrame:
@@ -66,7 +67,7 @@ def uniform_weeks(weekly: DataFrame, cfg: WindowConfig) -> DataFrame:
     sums = weeks.agg(
         F.count(F.lit(1)).alias("weeks"), (F.max("n") - F.min("n")).alias("spread")
     )
-    return _verdict(
+    return verdict(
         sums, "uniform_weeks", F.col("weeks"), F.abs(F.col("weeks") - cfg.obs_periods) + F.col("spread")
     )
 
@@ -79,7 +80,7 @@ def null_inventory(df: DataFrame) -> DataFrame:
     return counts.unpivot("n_rows", df.columns, "column_name", "n_nulls")
 
 
-def _row_checks() -> dict[str, tuple[Column, Column]]:
+def row_checks() -> dict[str, tuple[Column, Column]]:
     """Checks of single rows of the weekly table: name -> (checked, violations) of a row."""
     first = F.col("week_num") == 1
     changed = F.col("session_count_wow_change").isNotNull() | F.col("playtime_wow_change").isNotNull()
@@ -106,64 +107,18 @@ def _row_checks() -> dict[str, tuple[Column, Column]]:
 
 def weekly_rows(weekly: DataFrame, *only: str) -> DataFrame:
     """Row checks of the weekly table, all of them (or ``only`` some) in one pass."""
-    checks = {name: c for name, c in _row_checks().items() if not only or name in only}
+    checks = {name: c for name, c in row_checks().items() if not only or name in only}
     sums = [F.sum(c).alias(f"{name}_{part}") for name, pair in checks.items() for part, c in zip(("n", "bad"), pair)]
-    return _verdicts(weekly.agg(*sums), list(checks))
+    return verdicts(weekly.agg(*sums), list(checks))
 
 
-def _verdicts(sums: DataFrame, names: list[str]) -> DataFrame:
+def verdicts(sums: DataFrame, names: list[str]) -> DataFrame:
     """Verdicts from one row with columns ``<name>_n`` and ``<name>_bad``."""
     cells = [
         F.struct(F.lit(name).alias("name"), F.col(f"{name}_n").alias("n"), F.col(f"{name}_bad").alias("bad"))
         for name in names
     ]
-    return _verdict(sums.select(F.inline(F.array(*cells))), F.col("name"), F.col("n"), F.col("bad"))
-
-
-def weekly_structure(weekly: DataFrame, users: DataFrame, cfg: WindowConfig) -> DataFrame:
-    """Row count, key, weeks and all row checks from one pass over the weekly table.
-
-    The rows meet once, by user; keys, users and the table are counted on top of that.
-    """
-    checks = _row_checks()
-    sums = [f"{name}_{part}" for name in checks for part in ("n", "bad")]
-    marks = [c.alias(f"{name}_{part}") for name, pair in checks.items() for part, c in zip(("n", "bad"), pair)]
-    weeks = range(1, cfg.obs_periods + 1)
-    by_key = (
-        weekly.select(*KEYS, *marks)
-        .repartition("user_id")
-        .groupBy(*KEYS)
-        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums])
-    )
-    in_week = [F.sum(F.when(F.col("week_num") == w, F.col("n")).otherwise(0)).alias(f"week_{w}") for w in weeks]
-    by_user = by_key.groupBy("user_id").agg(
-        F.sum("n").alias("n"),
-        F.count_if(F.col("n") > 1).alias("repeated"),
-        F.count_if(~F.coalesce(F.col("week_num").between(1, cfg.obs_periods), F.lit(False))).alias("strange"),
-        *in_week,
-        *[F.sum(c).alias(c) for c in sums],
-    )
-    known = users.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_users"))
-    both = by_user.join(known, "user_id", "full_outer").fillna(0, ["n", "n_users"])
-    each = [F.sum(f"week_{w}").alias(f"week_{w}") for w in weeks]
-    total = both.agg(
-        F.sum("n").alias("rows"),
-        F.count_if(F.col("n") != F.col("n_users") * cfg.obs_periods).alias("off"),
-        F.sum("repeated").alias("repeated"),
-        F.sum("strange").alias("strange"),
-        *each,
-        *[F.sum(c).alias(c) for c in sums],
-    )
-    sizes = F.array(*[F.coalesce(F.col(f"week_{w}"), F.lit(0)) for w in weeks])
-    uneven = F.array_max(sizes) - F.array_min(sizes) + F.coalesce(F.col("strange"), F.lit(0))
-    total = total.withColumns(
-        {
-            "row_count_n": F.col("rows"), "row_count_bad": F.col("off"),
-            "unique_key_n": F.col("rows"), "unique_key_bad": F.col("repeated"),
-            "uniform_weeks_n": F.lit(cfg.obs_periods), "uniform_weeks_bad": uneven,
-        }
-    )
-    return _verdicts(total, ["row_count", "unique_key", "uniform_weeks", *checks])
+    return verdict(sums.select(F.inline(F.array(*cells))), F.col("name"), F.col("n"), F.col("bad"))
 
 
 def value_ranges(weekly: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -190,44 +145,49 @@ def norm_median(weekly: DataFrame, low: float = 0.9, high: float = 1.1) -> DataF
     sums = medians.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.col("value").between(low, high)).alias("bad")
     )
-    return _verdict(sums, "norm_median", F.col("n"), F.col("bad"))
+    return verdict(sums, "norm_median", F.col("n"), F.col("bad"))
 
 
 # --- comparisons between segments -------------------------------------------------------
 
 
 @dataclass(frozen=True)
-class Expectation:
-    """``left op right`` on the mean of a column, each side being a row filter."""
+class Mean:
+    """The mean of a weekly column over a persona, in all weeks or in one."""
 
-    name: str
     column: str
-    left: str
-    op: str
-    right: str
+    persona: str
+    week: int | None = None
 
-    def means(self) -> tuple[Column, Column]:
-        def mean(side: str) -> Column:
-            return F.avg(F.when(F.expr(side), F.col(self.column)))
+    @property
+    def rows(self) -> str:
+        """Its rows as a filter."""
+        return f"persona = '{self.persona}'" + (f" and week_num = {self.week}" if self.week else "")
 
-        return mean(self.left), mean(self.right)
+    @property
+    def name(self) -> str:
+        return f"{self.column}_of_{self.persona}" + (f"_in_{self.week}" if self.week else "")
 
 
-_COMPARE = {">": operator.gt, "<": operator.lt}
+@dataclass(frozen=True)
+class Expectation:
+    """``left op right``; the right side may be a fixed value."""
+
+    name: str
+    left: Mean
+    op: str
+    right: Mean | float
 
 
-def _persona(name: str, week: int | None = None) -> str:
-    return f"persona = '{name}'" + (f" and week_num = {week}" if week else "")
+_COMPARE = {">": operator.gt, "<": operator.lt}
 
 
 def _order(column: str, left: str, op: str, right: str) -> Expectation:
-    return Expectation(f"{column}: {left} {op} {right}", column, _persona(left), op, _persona(right))
+    return Expectation(f"{column}: {left} {op} {right}", Mean(column, left), op, Mean(column, right))
 
 
 def _trend(column: str, left: int, op: str, right: int, who: str = "about_to_churn") -> Expectation:
-    return Expectation(
-        f"{column}: week {left} {op} week {right}", column, _persona(who, left), op, _persona(who, right)
-    )
+    return Expectation(f"{column}: week {left} {op} week {right}", Mean(column, who, left), op, Mean(column, who, right))
 
 
 # The orderings that the data design promises.
@@ -251,76 +211,82 @@ DECAY = (
 )
 
 
-def as_verdict(expected: DataFrame, name: str) -> DataFrame:
-    """Rows with a column ``passed`` in the common shape of all checks."""
-    sums = expected.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("passed")).alias("bad"))
-    return _verdict(sums, name, F.col("n"), F.col("bad"))
-
-
 def with_persona(weekly: DataFrame, users: DataFrame) -> DataFrame:
     return weekly.join(users.select("user_id", "persona"), "user_id")
 
 
-def group_order(weekly: DataFrame, users: DataFrame, expectations=GROUP_ORDER) -> DataFrame:
-    """Rows ``(expectation, left_mean, right_mean, passed)``, all from one aggregation."""
-    sides = []
-    for i, e in enumerate(expectations):
-        left, right = e.means()
-        sides += [left.alias(f"left_{i}"), right.alias(f"right_{i}")]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(e.name).alias("expectation"),
-                F.col(f"left_{i}").alias("left_mean"),
-                F.col(f"right_{i}").alias("right_mean"),
-                F.coalesce(_COMPARE[e.op](F.col(f"left_{i}"), F.col(f"right_{i}")), F.lit(False)).alias("passed"),
-            )
-            for i, e in enumerate(expectations)
-        ]
-    )
-    return with_persona(weekly, users).agg(*sides).select(F.inline(rows))
+def means_of(expectations: Iterable[Expectation]) -> list[Mean]:
+    """The means that expectations compare, each once."""
+    sides = [side for e in expectations for side in (e.left, e.right) if isinstance(side, Mean)]
+    return list(dict.fromkeys(sides))
 
 
-def segment_decay(weekly: DataFrame, users: DataFrame, cfg: WindowConfig) -> DataFrame:
+def decay_of(cfg: WindowConfig) -> tuple[Expectation, ...]:
     """Users about to churn decline from week to week and end below their baseline."""
-    last = F.avg(
-        F.when(F.expr(_persona("about_to_churn", cfg.obs_periods)), F.col("playtime_vs_baseline"))
-    )
-    below = (
-        with_persona(weekly, users)
-        .agg(last.alias("left_mean"))
-        .select(
-            F.lit(f"playtime_vs_baseline: week {cfg.obs_periods} < 1").alias("expectation"),
-            "left_mean",
-            F.lit(1.0).alias("right_mean"),
-            F.coalesce(F.col("left_mean") < 1, F.lit(False)).alias("passed"),
+    last = Mean("playtime_vs_baseline", "about_to_churn", cfg.obs_periods)
+    return *DECAY, Expectation(f"playtime_vs_baseline: week {cfg.obs_periods} < 1", last, "<", 1.0)
+
+
+def stability_means(cfg: WindowConfig, persona: str = "hardcore") -> dict[str, tuple[Mean, Mean]]:
+    """Mean activity in the first and in the last week, raw and normalised."""
+    columns = {"raw": "weekly_session_count", "norm": "weekly_session_count_norm"}
+    return {kind: (Mean(c, persona, 1), Mean(c, persona, cfg.obs_periods)) for kind, c in columns.items()}
+
+
+def segment_means(weekly: DataFrame, users: DataFrame, means: list[Mean]) -> DataFrame:
+    """One row with a column per mean."""
+    cells = [F.avg(F.when(F.expr(m.rows), F.col(m.column))).alias(m.name) for m in means]
+    return with_persona(weekly, users).agg(*cells)
+
+
+def _side(side: Mean | float) -> Column:
+    return F.col(side.name) if isinstance(side, Mean) else F.lit(side)
+
+
+def holds(e: Expectation) -> Column:
+    """Whether an expectation holds, from a row of means."""
+    return F.coalesce(_COMPARE[e.op](_side(e.left), _side(e.right)), F.lit(False))
+
+
+def judged(means: DataFrame, expectations: Iterable[Expectation]) -> DataFrame:
+    """Rows ``(expectation, left_mean, right_mean, passed)`` from the row of means."""
+    rows = [
+        F.struct(
+            F.lit(e.name).alias("expectation"),
+            _side(e.left).alias("left_mean"),
+            _side(e.right).alias("right_mean"),
+            holds(e).alias("passed"),
         )
-    )
-    return group_order(weekly, users, DECAY).unionByName(below)
+        for e in expectations
+    ]
+    return means.select(F.inline(F.array(*rows)))
+
+
+def group_order(weekly: DataFrame, users: DataFrame, expectations: Iterable[Expectation] = GROUP_ORDER) -> DataFrame:
+    """Orderings between the segments of users, all from one aggregation."""
+    return judged(segment_means(weekly, users, means_of(expectations)), expectations)
+
+
+def segment_decay(weekly: DataFrame, users: DataFrame, cfg: WindowConfig) -> DataFrame:
+    return group_order(weekly, users, decay_of(cfg))
+
+
+STABILITY_LIMIT = 0.3
+
+
+def relative_changes(cfg: WindowConfig, persona: str = "hardcore") -> dict[str, Column]:
+    """Relative change from the first to the last week, from a row of means."""
+    pairs = stability_means(cfg, persona)
+    return {kind: F.abs(X.relative_change(last.name, first.name)) for kind, (first, last) in pairs.items()}
 
 
 def segment_stability(
-    weekly: DataFrame, users: DataFrame, cfg: WindowConfig, persona: str = "hardcore", limit: float = 0.3
+    weekly: DataFrame, users: DataFrame, cfg: WindowConfig, persona: str = "hardcore", limit: float = STABILITY_LIMIT
 ) -> DataFrame:
     """Relative change of the mean activity from the first to the last week."""
-
-    def mean(column: str, week: int) -> Column:
-        return F.avg(F.when(F.col("week_num") == week, F.col(column)))
-
-    means = (
-        with_persona(weekly, users)
-        .filter(F.col("persona") == persona)
-        .agg(
-            mean("weekly_session_count", 1).alias("raw_first"),
-            mean("weekly_session_count", cfg.obs_periods).alias("raw_last"),
-            mean("weekly_session_count_norm", 1).alias("norm_first"),
-            mean("weekly_session_count_norm", cfg.obs_periods).alias("norm_last"),
-        )
-    )
-    change = {
-        kind: F.abs(X.relative_change(f"{kind}_last", f"{kind}_first")) for kind in ("raw", "norm")
-    }
-    return means.select(
+    means = [m for pair in stability_means(cfg, persona).values() for m in pair]
+    change = relative_changes(cfg, persona)
+    return segment_means(weekly, users, list(dict.fromkeys(means))).select(
         F.lit(persona).alias("persona"),
         change["raw"].alias("raw_change"),
         change["norm"].alias("norm_change"),
@@ -335,7 +301,7 @@ def split_disjoint(tagged: DataFrame) -> DataFrame:
     """No user is in two splits."""
     per_user = tagged.groupBy("user_id").agg((F.min("split") != F.max("split")).alias("overlap"))
     sums = per_user.agg(F.count(F.lit(1)).alias("n"), F.count_if("overlap").alias("bad"))
-    return _verdict(sums, "split_disjoint", F.col("n"), F.col("bad"))
+    return verdict(sums, "split_disjoint", F.col("n"), F.col("bad"))
 
 
 def split_exhaustive(split: DataFrame, users: DataFrame) -> DataFrame:
@@ -343,7 +309,7 @@ def split_exhaustive(split: DataFrame, users: DataFrame) -> DataFrame:
     sums = _outer_counts(split=split, users=users).agg(
         F.sum("n_split").alias("n"), F.count_if((F.col("n_split") != 1) | (F.col("n_users") != 1)).alias("bad")
     )
-    return _verdict(sums, "split_exhaustive", F.col("n"), F.col("bad"))
+    return verdict(sums, "split_exhaustive", F.col("n"), F.col("bad"))
 
 
 def cross_format(flat_split: DataFrame, sequence_split: DataFrame) -> DataFrame:
@@ -355,29 +321,36 @@ def cross_format(flat_split: DataFrame, sequence_split: DataFrame) -> DataFrame:
         .agg(F.sum("flat").alias("flat"), F.sum("seq").alias("seq"))
     )
     sums = both.agg(F.sum("flat").alias("n"), F.count_if(F.col("flat") != F.col("seq")).alias("bad"))
-    return _verdict(sums, "cross_format", F.col("n"), F.col("bad"))
+    return verdict(sums, "cross_format", F.col("n"), F.col("bad"))
 
 
-def sequence_cells(sequence: DataFrame, cfg: WindowConfig, *only: str) -> DataFrame:
-    """Every matrix has weeks x features cells ("shape") and no hole ("no_null")."""
+def wrong_cells(cfg: WindowConfig) -> dict[str, Column]:
+    """Whether a matrix lacks its shape, weeks x features, or has a hole."""
     width = len(schema.names())
     good = (F.size("X") == cfg.obs_periods) & F.forall("X", lambda week: F.size(week) == width)
     hole = F.exists("X", lambda week: F.exists(week, lambda v: v.isNull() | F.isnan(v)))
-    wrong = {"sequence_shape": ~good, "sequence_no_null": hole}
-    wrong = {name: c for name, c in wrong.items() if not only or name in only}
+    return {"sequence_shape": ~good, "sequence_no_null": hole}
+
+
+def sequence_cells(sequence: DataFrame, cfg: WindowConfig, *only: str) -> DataFrame:
+    """Every matrix has weeks x features cells ("shape") and no hole ("no_null")."""
+    wrong = {name: c for name, c in wrong_cells(cfg).items() if not only or name in only}
     sums = sequence.agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(c).cast("long").alias(name) for name, c in wrong.items()]
     )
-    return _verdict(sums.unpivot("n", list(wrong), "name", "bad"), F.col("name"), F.col("n"), F.col("bad"))
+    return verdict(sums.unpivot("n", list(wrong), "name", "bad"), F.col("name"), F.col("n"), F.col("bad"))
+
+
+TOLERANCE = 0.005
 
 
-def stratification(split: DataFrame, tolerance: float = 0.005) -> DataFrame:
+def stratification(split: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """Churn rates of the splits differ by less than ``tolerance``."""
     rates = split.groupBy("split").agg(F.avg("churn").alias("rate"))
     sums = rates.agg(
         F.count(F.lit(1)).alias("n"), (F.max("rate") - F.min("rate") >= tolerance).cast("int").alias("bad")
     )
-    return _verdict(sums, "stratification", F.col("n"), F.col("bad"))
+    return verdict(sums, "stratification", F.col("n"), F.col("bad"))
 
 
 def label_match(flat: DataFrame, sequence: DataFrame) -> DataFrame:
@@ -386,29 +359,39 @@ def label_match(flat: DataFrame, sequence: DataFrame) -> DataFrame:
     )
     differ = ~F.col("flat_churn").eqNullSafe(F.col("sequence_churn"))
     sums = pair.agg(F.count(F.lit(1)).alias("n"), F.count_if(differ).alias("bad"))
-    return _verdict(sums, "label_match", F.col("n"), F.col("bad"))
+    return verdict(sums, "label_match", F.col("n"), F.col("bad"))
+
+
+def leaked_columns(flat: DataFrame) -> set[str]:
+    """Forbidden features among the columns; the user id and label are no features."""
+    return (set(flat.columns) - {"user_id", "churn"}) & set(schema.FORBIDDEN_IN_DATASETS)
+
+
+def name_sums(names: DataFrame) -> DataFrame:
+    """One row of counts over the stored lists of feature names."""
+    expected = F.array(*map(F.lit, schema.names()))
+    forbidden = F.size(F.array_intersect("feature_names", F.array(*map(F.lit, schema.FORBIDDEN_IN_DATASETS))))
+    return names.agg(
+        F.sum(F.size("feature_names")).alias("stored_names"),
+        F.count_if(~F.col("feature_names").eqNullSafe(expected)).alias("wrong_names"),
+        F.coalesce(F.sum(F.greatest(forbidden, F.lit(0))), F.lit(0)).alias("forbidden_names"),
+    )
 
 
 def leakage(flat: DataFrame, names: DataFrame) -> DataFrame:
-    """Neither form has a forbidden feature; the user id and label are no features.
+    """Neither form has a forbidden feature.
 
     ``names`` is the stored list of the sequence features, ``feature_names`` in a row.
     """
-    leaked = (set(flat.columns) - {"user_id", "churn"}) & set(schema.FORBIDDEN_IN_DATASETS)
-    rows = flat.agg(F.count(F.lit(1)).alias("n"), F.lit(len(leaked)).cast("long").alias("bad"))
-    stored = names.select(F.explode("feature_names").alias("name"))
-    forbidden = F.count_if(F.col("name").isin(*schema.FORBIDDEN_IN_DATASETS))
-    both = rows.unionByName(stored.agg(F.lit(0).cast("long").alias("n"), forbidden.alias("bad")))
-    return _verdict(both.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "leakage", F.col("n"), F.col("bad"))
+    rows = flat.agg(F.count(F.lit(1)).alias("n"), F.lit(len(leaked_columns(flat))).cast("long").alias("bad"))
+    stored = name_sums(names).select(F.lit(0).cast("long").alias("n"), F.col("forbidden_names").alias("bad"))
+    both = rows.unionByName(stored)
+    return verdict(both.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "leakage", F.col("n"), F.col("bad"))
 
 
 def sequence_names(names: DataFrame) -> DataFrame:
     """The stored list names the features of the data model in their order."""
-    expected = F.array(*map(F.lit, schema.names()))
-    sums = names.agg(
-        F.sum(F.size("feature_names")).alias("n"), F.count_if(~F.col("feature_names").eqNullSafe(expected)).alias("bad")
-    )
-    return _verdict(sums, "sequence_names", F.col("n"), F.col("bad"))
+    return verdict(name_sums(names), "sequence_names", F.col("stored_names"), F.col("wrong_names"))
 
 
 def flat_rows(flat: DataFrame, users: DataFrame) -> DataFrame:
@@ -416,7 +399,7 @@ def flat_rows(flat: DataFrame, users: DataFrame) -> DataFrame:
     per_user = _outer_counts(flat=flat, users=users).agg(
         F.sum("n_flat").alias("n"), F.count_if(F.col("n_flat") != F.col("n_users")).alias("off")
     )
-    return _verdict(per_user, "flat_rows", F.col("n"), F.col("off"))
+    return verdict(per_user, "flat_rows", F.col("n"), F.col("off"))
 
 
 def label_domain(labels: DataFrame) -> DataFrame:
@@ -424,7 +407,7 @@ def label_domain(labels: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.coalesce(~F.col("churn").isin(0, 1), F.lit(True))).alias("bad"),
     )
-    return _verdict(sums, "label_domain", F.col("n"), F.col("bad"))
+    return verdict(sums, "label_domain", F.col("n"), F.col("bad"))
 
 
 def churn_rate_by_persona(labels: DataFrame, users: DataFrame) -> DataFrame:
@@ -439,17 +422,21 @@ def churn_rate_by_persona(labels: DataFrame, users: DataFrame) -> DataFrame:
 CHURN_LIMITS = {"about_to_churn": (0.5, None), "hardcore": (None, 0.01), "regular": (None, 0.05)}
 
 
+def outside_limits(persona: str, rate: Column) -> Column:
+    low, high = CHURN_LIMITS[persona]
+    return rate <= low if low is not None else rate >= high
+
+
 def churn_rate_limits(labels: DataFrame, users: DataFrame) -> DataFrame:
     outside = F.lit(False)
-    for persona, (low, high) in CHURN_LIMITS.items():
-        wrong = (F.col("churn_rate") <= low) if low is not None else (F.col("churn_rate") >= high)
-        outside = outside | ((F.col("persona") == persona) & wrong)
+    for persona in CHURN_LIMITS:
+        outside = outside | ((F.col("persona") == persona) & outside_limits(persona, F.col("churn_rate")))
     sums = (
         churn_rate_by_persona(labels, users)
         .filter(F.col("persona").isin(*CHURN_LIMITS))
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(outside).alias("bad"))
     )
-    return _verdict(sums, "churn_rate_limits", F.col("n"), F.col("bad"))
+    return verdict(sums, "churn_rate_limits", F.col("n"), F.col("bad"))
 
 
 # Columns that should tell churners apart.
@@ -467,7 +454,10 @@ def label_signal(flat: DataFrame) -> DataFrame:
     return flat.groupBy("churn").agg(*[F.avg(c).alias(c) for c in SIGNAL_COLUMNS])
 
 
-def label_signal_check(flat: DataFrame, limit: float = 0.5) -> DataFrame:
+SIGNAL_LIMIT = 0.5
+
+
+def label_signal_check(flat: DataFrame, limit: float = SIGNAL_LIMIT) -> DataFrame:
     """Churners have less than ``limit`` of the others' sessions in the last week."""
     last = F.col("weekly_session_count_last")
     sums = flat.agg(
@@ -476,47 +466,4 @@ def label_signal_check(flat: DataFrame, limit: float = 0.5) -> DataFrame:
         F.avg(F.when(F.col("churn") == 0, last)).alias("stayed"),
     )
     weak = F.coalesce(F.col("churned") >= F.col("stayed") * limit, F.lit(True)).cast("int")
-    return _verdict(sums, "label_signal", F.col("n"), weak)
-
-
-# --- reports ----------------------------------------------------------------------------------
-
-
-def _stack(*checks: DataFrame) -> DataFrame:
-    result = checks[0]
-    for check in checks[1:]:
-        result = result.unionByName(check)
-    return result
-
-
-def weekly_report(weekly: DataFrame, users: DataFrame, cfg: WindowConfig) -> DataFrame:
-    """Structure of the weekly table, and what the segments of users promise."""
-    return _stack(
-        weekly_structure(weekly, users, cfg),
-        norm_median(weekly),
-        as_verdict(group_order(weekly, users), "group_order"),
-        as_verdict(segment_decay(weekly, users, cfg), "segment_decay"),
-        as_verdict(segment_stability(weekly, users, cfg), "segment_stability"),
-    )
-
-
-def dataset_report(
-    flat: DataFrame, sequence: DataFrame, names: DataFrame, split: DataFrame, users: DataFrame, cfg: WindowConfig
-) -> DataFrame:
-    """Checks of both dataset forms; ``flat`` and ``sequence`` carry their split, and
-    ``names`` is the stored list of sequence features."""
-    return _stack(
-        split_disjoint(flat),
-        split_disjoint(sequence),
-        split_exhaustive(split, users),
-        cross_format(flat, sequence),
-        sequence_cells(sequence, cfg),
-        stratification(split),
-        label_match(flat, sequence),
-        leakage(flat.drop("split"), names),
-        sequence_names(names),
-        flat_rows(flat, users),
-        label_domain(flat),
-        churn_rate_limits(flat, users),
-        label_signal_check(flat.filter("split = 'train'")),
-    )
+    return verdict(sums, "label_signal", F.col("n"), weak)

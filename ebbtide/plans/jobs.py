@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.config import SplitConfig, WindowConfig
-from ebbtide.operators import checks, sequence, split
+from ebbtide.operators import audit, sequence, split
 from ebbtide.plans.dataset import build_datasets
 from ebbtide.plans.weekly import weekly_features
 from ebbtide.sources import sinks
 from ebbtide.sources.tables import FILES, Tables, read_parquet, read_tables
 
 WEEKLY = "weekly_features.parquet"
+WEEKLY_CHECKS = "weekly_checks.parquet"
 FLAT = "flat.parquet"
 SEQUENCE = "sequence.parquet"
 SEQUENCE_NAMES = "sequence_features.parquet"
@@ -38,10 +39,15 @@ def session(name: str) -> SparkSession:
 
 
 def features(tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig()) -> DataFrame:
-    """Write the weekly table and return it as read back."""
+    """Write the weekly table and return it as read back.
+
+    The row checks are observed while it is written; their verdicts lie beside it.
+    """
     path = f"{output_dir}/{WEEKLY}"
     with sinks.Staging(tables.spark, output_dir) as stage:
-        sinks.write_table(weekly_features(tables, cfg, stage=stage), path)
+        weekly, watch = audit.observed(weekly_features(tables, cfg, stage=stage))
+        sinks.write_table(weekly, path)
+    sinks.write_table(audit.observed_verdicts(weekly, watch), f"{output_dir}/{WEEKLY_CHECKS}")
     return read_parquet(tables.spark, path)
 
 
@@ -73,8 +79,8 @@ def validate(tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig()
     weekly, flat, matrices, names, parts = (
         read_parquet(spark, f"{output_dir}/{name}") for name in (WEEKLY, FLAT, SEQUENCE, SEQUENCE_NAMES, SPLIT)
     )
-    return checks.weekly_report(weekly, tables.users, cfg).unionByName(
-        checks.dataset_report(flat, matrices, names, parts, tables.users, cfg)
+    return audit.weekly_report(weekly, tables.users, cfg).unionByName(
+        audit.dataset_report(flat, matrices, names, parts, tables.users, cfg)
     )
 
 

@@ -491,7 +491,7 @@ FROM (SELECT avg(weekly_session_count) FILTER (week_num = 1) AS rf, avg(weekly_s
 
 
 def _order_sql(e: checks.Expectation, source: str) -> str:
-    left, right = (f"avg({e.column}) FILTER ({side})" for side in (e.left, e.right))
+    left, right = (f"avg({side.column}) FILTER ({side.rows})" for side in (e.left, e.right))
     return (
         f"SELECT '{e.name}' AS expectation, {left} AS left_mean, {right} AS right_mean, "
         f"coalesce({left} {e.op} {right}, false) AS passed FROM {source}"

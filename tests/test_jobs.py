@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from fixture import tables
 from pyspark.sql import functions as F
 
 from ebbtide import WindowConfig, schema
-from ebbtide.operators import checks
+from ebbtide.operators import audit, checks
 from ebbtide.plans import jobs
 from ebbtide.plans.weekly import weekly_features
 from ebbtide.sources import sinks
@@ -78,21 +80,101 @@ def test_validate_job_emits_every_check(folders):
     names = [r["check_name"] for r in jobs.validate(raw, out).collect()]
     assert set(names) == set(
         """row_count unique_key uniform_weeks never_null wow_first_week nulls_match_zero_weeks bounded
-        non_negative norm_median group_order segment_decay segment_stability split_disjoint split_exhaustive
+        non_negative norm_median group_order segment_decay segment_stability split_disjoint sequence_split_disjoint split_exhaustive
         cross_format sequence_shape sequence_no_null stratification label_match leakage sequence_names
         flat_rows label_domain churn_rate_limits label_signal""".split()
     )
 
 
-def test_one_pass_equals_the_single_checks(spark, folders):
+def broken_weekly(weekly):
+    return weekly.union(weekly.limit(2)).filter("not (user_id = 'B' and week_num = 3)")
+
+
+def verdicts(df) -> dict:
+    return {r["check_name"]: (r["n_checked"], r["n_violations"], r["passed"]) for r in df.collect()}
+
+
+def test_one_pass_over_the_weekly_table_equals_the_single_checks(spark, folders):
+    raw, out, _ = folders
+    weekly = spark.read.parquet(f"{out}/{jobs.WEEKLY}")
+    for df in (weekly, broken_weekly(weekly), weekly.limit(0)):
+        once = verdicts(audit.weekly_checks(df, raw.users, CFG))
+        single = checks.row_count(df, raw.users, CFG).union(checks.unique_key(df)).union(checks.weekly_rows(df))
+        for name, expected in verdicts(single).items():
+            assert once[name] == expected
+        assert once["uniform_weeks"][1:] == verdicts(checks.uniform_weeks(df, CFG))["uniform_weeks"][1:]
+        for name, rows in (("group_order", checks.group_order(df, raw.users)), ("segment_decay", checks.segment_decay(df, raw.users, CFG)),
+                           ("segment_stability", checks.segment_stability(df, raw.users, CFG))):
+            passed = [r["passed"] for r in rows.collect()]
+            assert once[name] == (len(passed), passed.count(False), all(passed))
+
+
+def test_means_of_one_pass_equal_the_join(spark, folders):
+    """Also with a user that the user table lists twice, under two personas."""
+    raw, out, _ = folders
+    weekly = broken_weekly(spark.read.parquet(f"{out}/{jobs.WEEKLY}"))
+    users = raw.users.union(raw.users.limit(1).withColumn("persona", F.lit("regular")))
+    means = [checks.Mean("weekly_session_count", p, w) for p in audit.PERSONAS for w in (None, 1, 3)]
+    means += [checks.Mean("avg_latency", "hardcore"), checks.Mean("longest_inactive_days", "casual", 4)]
+    once = audit.weekly_totals(weekly, users, means, CFG).select([m.name for m in means]).first()
+    assert once == checks.segment_means(weekly, users, means).first()
+
+
+def dataset_tables(spark, out):
+    return [spark.read.parquet(f"{out}/{name}") for name in (jobs.FLAT, jobs.SEQUENCE, jobs.SEQUENCE_NAMES, jobs.SPLIT)]
+
+
+def test_one_pass_over_the_datasets_equals_the_single_checks(spark, folders):
+    raw, out, _ = folders
+    flat, matrix, names, parts = dataset_tables(spark, out)
+    other = {"test": "train", "train": "val"}
+    moved = flat.replace(other, subset=["split"]).withColumn("churn", F.lit(2))
+    holed = matrix.withColumn("X", F.when(F.col("user_id") == "B", F.slice("X", 1, 3)).otherwise(F.col("X")))
+    leaked = flat.withColumn("persona", F.lit("x"))
+    cases = [
+        (flat, matrix, names, parts),
+        (moved, holed, names, parts.union(parts.limit(1))),
+        (flat.union(flat.withColumn("split", F.lit("val"))), matrix.filter("user_id != 'A'"), names, parts.filter("user_id != 'C'")),
+        (leaked, matrix, names.select(F.array_append("feature_names", F.lit("persona")).alias("feature_names")), parts),
+        (flat.limit(0), matrix.limit(0), names, parts.limit(0)),
+    ]
+    for f, m, n, p in cases:
+        once = verdicts(audit.dataset_report(f, m, n, p, raw.users, CFG))
+        single = [
+            checks.split_disjoint(f), checks.split_exhaustive(p, raw.users), checks.cross_format(f, m), checks.sequence_cells(m, CFG),
+            checks.stratification(p), checks.leakage(f.drop("split"), n), checks.sequence_names(n), checks.flat_rows(f, raw.users),
+            checks.label_domain(f), checks.churn_rate_limits(f.select("user_id", "churn"), raw.users),
+            checks.label_signal_check(f.filter("split = 'train'")),
+        ]
+        for df in single:
+            for name, expected in verdicts(df).items():
+                assert once[name] == expected, name
+        assert once["sequence_split_disjoint"] == verdicts(checks.split_disjoint(m))["split_disjoint"]
+        assert once["label_match"][2] == verdicts(checks.label_match(f, m))["label_match"][2]
+
+
+def test_validate_reads_each_table_once(spark, folders):
+    """The weekly table once for all checks, besides what the medians read of it."""
     raw, out, _ = folders
     weekly = spark.read.parquet(f"{out}/{jobs.WEEKLY}")
-    broken = weekly.union(weekly.limit(2)).filter("not (user_id = 'B' and week_num = 3)")
-    for df in (weekly, broken):
-        once = {r["check_name"]: tuple(r) for r in checks.weekly_structure(df, raw.users, CFG).collect()}
-        single = checks.row_count(df, raw.users, CFG).union(checks.unique_key(df)).union(checks.uniform_weeks(df, CFG))
-        for r in single.union(checks.weekly_rows(df)).collect():
-            assert once[r["check_name"]] == tuple(r)
+
+    def scans(df, name: str) -> int:
+        return len(re.findall(rf"FileScan parquet [^\n]*/{name}", df._jdf.queryExecution().executedPlan().toString()))
+
+    report, medians = jobs.validate(raw, out), checks.norm_median(weekly)
+    assert scans(report, jobs.WEEKLY) - scans(medians, jobs.WEEKLY) == 1
+    for name in (jobs.FLAT, jobs.SEQUENCE, jobs.SEQUENCE_NAMES, jobs.SPLIT):
+        assert scans(report, name) == 1, name
+    assert scans(report, "users.parquet") == 2
+
+
+def test_writing_the_weekly_table_leaves_its_row_checks(spark, folders):
+    _, out, _ = folders
+    stored = verdicts(spark.read.parquet(f"{out}/{jobs.WEEKLY_CHECKS}"))
+    assert stored == verdicts(checks.weekly_rows(spark.read.parquet(f"{out}/{jobs.WEEKLY}")))
+    empty, watch = audit.observed(spark.read.parquet(f"{out}/{jobs.WEEKLY}").limit(0))
+    empty.collect()
+    assert all(v == (0, 0, True) for v in verdicts(audit.observed_verdicts(empty, watch)).values())
 
 
 def test_a_planted_leak_is_found(spark, folders):
