@@ -15,7 +15,7 @@ from ebbtide.operators import audit, sequence, split
 from ebbtide.plans.dataset import build_datasets
 from ebbtide.plans.weekly import weekly_features
 from ebbtide.sources import sinks
-from ebbtide.sources.tables import FILES, Tables, read_parquet, read_tables
+from ebbtide.sources.tables import FILES, Tables, read_parquet, read_tables, utc_instant
 
 WEEKLY = "weekly_features.parquet"
 WEEKLY_CHECKS = "weekly_checks.parquet"
@@ -61,7 +61,7 @@ def dataset(
         built = build_datasets(
             weekly,
             tables.users.select("user_id"),
-            tables.sessions.select("user_id", "start_time"),
+            tables.sessions_between(cfg.prediction).select("user_id", "start_time"),
             cfg,
             split_cfg,
             stage=stage,
@@ -85,8 +85,10 @@ def validate(tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig()
 
 
 def arrange(tables: Tables, output_dir: str) -> None:
-    """Write the sessions ordered by start, so that the windows read few row groups."""
-    sinks.write_time_ordered(tables.sessions, f"{output_dir}/{FILES['sessions']}.parquet", "start_time")
+    """Write the sessions ordered by start, so that the windows read few row groups, with
+    their times as instants, the encoding that Spark prunes by."""
+    times = {name: utc_instant(name) for name in ("start_time", "end_time")}
+    sinks.write_time_ordered(tables.sessions.withColumns(times), f"{output_dir}/{FILES['sessions']}.parquet", "start_time")
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -23,7 +23,7 @@ def active_weeks(tables: Tables, cfg: WindowConfig, stage: Stage | None = None)
     Each part scans only its own columns of the sessions and ends in the same
     ``(user_id, week_num)`` partitioning, so the parts join without a shuffle.
     """
-    obs = scaffold.observe(tables.sessions, cfg)
+    obs = scaffold.observe(tables.sessions_between(cfg.observation), cfg)
     profile = session_ops.session_profile(obs, cfg)
     if stage:
         profile = stage(profile, "session_profile")
@@ -55,7 +55,7 @@ def weekly_features(
     # In this order the windows of both steps merge into one.
     dense = engagement.longest_inactive_days(dense, cfg)
     dense = engagement.wow_change(dense)
-    dense = engagement.baseline_ratios(dense, engagement.user_baseline(tables.sessions, cfg))
+    dense = engagement.baseline_ratios(dense, engagement.user_baseline(tables.sessions_between(cfg.baseline), cfg))
 
     per_user = payments.payment_features(tables.users, tables.sub_events, tables.payments, cfg)
     everyone = dense.join(per_user, "user_id", "full_outer")

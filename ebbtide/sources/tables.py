@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping
 from functools import cached_property
 
@@ -9,15 +10,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbtide.functions import exprs as X
+
+Window = tuple[dt.date, dt.date]
+
 
 class Tables:
-    """The five tables, each opened when it is first used."""
+    """The five tables, each opened when it is first used.
+
+    ``sessions_between``, if given, opens the sessions that start in a window.
+    """
 
     names = ("users", "sessions", "games", "sub_events", "payments")
 
-    def __init__(self, spark: SparkSession, openers: Mapping[str, Callable[[], DataFrame]]) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        openers: Mapping[str, Callable[[], DataFrame]],
+        sessions_between: Callable[[Window], DataFrame] | None = None,
+    ) -> None:
         self.spark = spark
         self._openers = openers
+        self._sessions_between = sessions_between
 
     @classmethod
     def of(cls, **frames: DataFrame) -> Tables:
@@ -44,6 +58,13 @@ class Tables:
     def payments(self) -> DataFrame:
         return self._openers["payments"]()
 
+    def sessions_between(self, window: Window) -> DataFrame:
+        """Sessions that start in a half-open window of days, filtered in the scan
+        whatever encoding the file has."""
+        if self._sessions_between:
+            return self._sessions_between(window)
+        return self.sessions.filter(X.ts_within("start_time", window))
+
     def named(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in self.names}
 
@@ -73,6 +94,30 @@ def read_parquet(
     return df.select(*columns) if columns else df
 
 
+EPOCH = dt.date(1970, 1, 1)
+MOST_LONG = 2**63 - 1
+
+
+def stored_within(df: DataFrame, name: str, window: Window) -> Column:
+    """A half-open window of UTC days on a time column as the file stores it.
+
+    The bounds are literals in the column's own encoding, so the filter reaches the scan; on
+    the wall time computed from the column it would not. Spark prunes row groups by the
+    statistics of instants in micro- or milliseconds only; for the other encodings the filter
+    just comes before the conversion, and the job ``arrange`` rewrites them as instants.
+    """
+    kind = df.schema[name].dataType
+    low, high = ((day - EPOCH).days * 86_400_000_000 for day in window)
+    if isinstance(kind, T.LongType):
+        # A bound that nanoseconds can't hold lies beyond every stored value.
+        low, high = (max(-MOST_LONG, min(MOST_LONG, 1000 * micros)) for micros in (low, high))
+        return (F.col(name) >= F.lit(low)) & (F.col(name) < F.lit(high))
+    if isinstance(kind, T.TimestampType):
+        first, last = (F.timestamp_micros(F.lit(micros)) for micros in (low, high))
+        return (F.col(name) >= first) & (F.col(name) < last)
+    return X.ts_within(name, window)
+
+
 def without_zone(df: DataFrame, *columns: str) -> DataFrame:
     """Bring timestamp columns to ``timestamp_ntz`` whatever the file stored.
 
@@ -98,6 +143,15 @@ def _wall_time(micros: Column) -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
 
 
+def utc_instant(name: str) -> Column:
+    """The instant of a wall time of UTC, whatever the zone of the session."""
+    time = F.col(name)
+    days = F.datediff(time.cast("date"), F.lit(EPOCH)).cast("long")
+    seconds = (days * 24 + F.hour(time)) * 3600 + F.minute(time) * 60
+    micros = F.expr(f"cast(extract(second from `{name}`) * 1000000 as long)")
+    return F.timestamp_micros(seconds * 1_000_000 + micros)
+
+
 # Declared input schemas. Session times come in several encodings, so that schema is
 # read from the files.
 SCHEMAS = {
@@ -112,11 +166,16 @@ SCHEMAS = {
 
 
 def read_tables(spark: SparkSession, input_dir: str) -> Tables:
-    def opener(name: str) -> Callable[[], DataFrame]:
-        def open_table() -> DataFrame:
-            df = read_parquet(spark, f"{input_dir}/{FILES[name]}.parquet", schema=SCHEMAS.get(name))
-            return without_zone(df, "start_time", "end_time") if name == "sessions" else df
+    def stored(name: str) -> DataFrame:
+        return read_parquet(spark, f"{input_dir}/{FILES[name]}.parquet", schema=SCHEMAS.get(name))
+
+    def sessions(df: DataFrame) -> DataFrame:
+        return without_zone(df, "start_time", "end_time")
 
-        return open_table
+    def sessions_between(window: Window) -> DataFrame:
+        df = stored("sessions")
+        return sessions(df.filter(stored_within(df, "start_time", window)))
 
-    return Tables(spark, {name: opener(name) for name in FILES})
+    openers = {name: (lambda name=name: stored(name)) for name in FILES}
+    openers["sessions"] = lambda: sessions(stored("sessions"))
+    return Tables(spark, openers, sessions_between)
