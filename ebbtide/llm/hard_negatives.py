@@ -10,7 +10,9 @@ the triangle inequality: if a row lies at angle ``t`` from a reference and the a
 ``s``, the two are between ``|s - t|`` and ``min(s + t, 2 pi - s - t)`` apart. The narrowest of these
 intervals over all references, turned to cosines and multiplied by both norms, bounds the
 score; it is widened by more than rounding can do. Rows lie in tiles, by nearest reference
-and angle, and the ranges of angle and norm of a tile bound all of its scores at once. For
+and angle, and the ranges of angle and norm of a tile bound all of its scores at once; single
+rows are bounded from the references nearest to the anchor alone, as all of them would take
+longer than the score. For
 positives an anchor visits tiles by falling bound until the next one is below its last
 positive so far; for negatives it visits the tiles, and in them the rows, whose interval
 overlaps one of its windows. Only these get integer scores, so the result is exact
@@ -49,6 +51,7 @@ LOW, HIGH = 30, 90  # percent of a positive's score between which negatives lie
 REFERENCES, SAMPLE = 12, 2048
 PART, BLOCK = 1 << 20, 1 << 18  # components of the vectors that a task holds of either side
 TILE = 64
+SHARP = 2  # references nearest to an anchor, whose intervals are the narrowest, that bound single rows
 SLACK = 1e-5  # radians; more than the arc cosines of rounded products of 10,000 terms are off
 EXACT = 2.0**53  # below it, sums of whole numbers are exact in doubles
 
@@ -163,8 +166,9 @@ class Part:
 
     def rows(self, at: np.ndarray, anchor: np.ndarray, norm: float) -> tuple[np.ndarray, np.ndarray]:
         """Least and most score of each of the rows ``at``."""
-        near = self.angles[at]
-        return bounds(*cosines(near, near, anchor), self.norms[at], self.norms[at], norm)
+        sharp = np.argsort(anchor, kind="stable")[:SHARP]
+        near = self.angles[np.ix_(at, sharp)]
+        return bounds(*cosines(near, near, anchor[sharp]), self.norms[at], self.norms[at], norm)
 
     def within(self, tiles: np.ndarray) -> np.ndarray:
         """The rows of these tiles."""
@@ -309,16 +313,17 @@ def hard_negatives(df: DataFrame, is_anchor: Column, key: str = "vec_id", label:
     plain = staged(whole(df, key, label, vector), "whole")
     directions = references(plain)
     width = max(1, directions.shape[1])
-    rows = staged(with_angles(plain, spark.sparkContext.broadcast(directions)), "angles")
+    # A stored column, as a join by a literal would be planned as a product.
+    rows = staged(with_angles(plain, spark.sparkContext.broadcast(directions)).withColumn("pool", F.lit(0)), "angles")
     anchors = staged(rows.where(is_anchor), "anchors")
 
     labelled = met(rows, anchors, "label", width, find_positives, POSITIVE)
     order = Window.partitionBy("id").orderBy(F.desc("positive_score"), "positive_id")
     chosen = labelled.withColumn("k", F.row_number().over(order)).where(F.col("k") <= POSITIVES)
     few = chosen.groupBy("id").agg(F.collect_list(F.struct("positive_id", "positive_score")).alias("positives"))
-    asked = staged(anchors.join(few, "id").withColumn("pool", F.lit(0)), "asked")
+    asked = staged(anchors.join(few, "id"), "asked")
 
-    found = met(rows.withColumn("pool", F.lit(0)), asked, "pool", width, find_negatives, NEGATIVE)
+    found = met(rows, asked, "pool", width, find_negatives, NEGATIVE)
     order = Window.partitionBy("anchor_id", "positive_id").orderBy(F.desc("negative_score"), "negative_id")
     ranked = found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= NEGATIVES)
     return ranked.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
