@@ -58,10 +58,10 @@ def naive_gaps(rows):
     return result
 
 
-@pytest.mark.parametrize("slice_seconds", [60, 3600, 10**9])
-def test_sliced_gaps_equal_one_ordering(obs, rows, slice_seconds):
+@pytest.mark.parametrize("pieces", [1, 16, 1000])
+def test_sliced_gaps_equal_one_ordering(obs, rows, pieces):
     got = defaultdict(list)
-    for r in gaps.inter_session_gaps(obs, slice_seconds=slice_seconds).collect():
+    for r in gaps.inter_session_gaps(obs, pieces).collect():
         got[r["user_id"], r["week_num"]].append(r["gap_s"])
     expected = naive_gaps(rows)
     assert set(got) == set(expected)
@@ -70,10 +70,10 @@ def test_sliced_gaps_equal_one_ordering(obs, rows, slice_seconds):
         assert got[key].count(None) == 1
 
 
-@pytest.mark.parametrize("slice_seconds", [600, 3600])
-def test_regularity(obs, rows, slice_seconds):
+@pytest.mark.parametrize("pieces", [None, 16, 1000])
+def test_regularity(obs, rows, pieces):
     expected = naive_gaps(rows)
-    for r in gaps.session_regularity(obs, slice_seconds).collect():
+    for r in gaps.session_regularity(obs, pieces).collect():
         values = [g / 60 for g in expected[r["user_id"], r["week_num"]]]
         want = statistics.stdev(values) if len(values) > 1 else 0.0
         assert r["session_regularity"] == pytest.approx(want, abs=1e-7)
@@ -92,6 +92,48 @@ def test_gaps_of_sessions_without_a_user(spark):
     assert gaps.inter_session_gaps(obs).filter("gap_s is not null").count() == 10
 
 
+def test_an_hour_with_a_third_of_all_sessions_is_split(spark):
+    """Sessions without a user, all in one hour, many of them at the same second."""
+    n, partitions = 120_000, 16
+    hot = F.col("id") % 3 == 0
+    second = F.when(hot, F.pmod(F.xxhash64("id"), F.lit(3600)) % 600).otherwise(F.pmod(F.xxhash64("id"), F.lit(20 * 86400)))
+    start = F.lit("2024-01-29 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=second.cast("decimal(18,6)"))
+    sessions_ = spark.range(n).select(
+        F.concat(F.lit("s"), F.col("id")).alias("session_id"),
+        F.when(~hot, F.concat(F.lit("u"), F.col("id") % 997)).alias("user_id"),
+        start.alias("start_time"),
+        (start + F.make_dt_interval(secs=(F.col("id") % 50).cast("decimal(18,6)"))).alias("end_time"),
+    )
+    settings_ = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {k: spark.conf.get(k) for k in settings_}
+    try:
+        for k, v in settings_.items():
+            spark.conf.set(k, v)
+        obs = scaffold.observe(sessions_, CFG)
+        ordered = gaps._ordered(obs, None)
+        tasks = ordered.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.max("prev_end"))
+        in_task = sorted(r["n"] for r in tasks.collect())
+        assert sum(in_task) == n and len(in_task) == partitions
+        assert in_task[-1] <= 3 * in_task[partitions // 2], in_task
+        in_slice = ordered.groupBy("user_id", "week_num", "slice").count().agg(F.max("count")).first()[0]
+        assert in_slice <= 3 * n / (gaps.PIECES * partitions)
+        got = gaps.session_regularity(obs).where("user_id is null").collect()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    rows = sorted((r["start_time"], r["session_id"], r["end_time"]) for r in sessions_.where("user_id is null").collect())
+    want = statistics.stdev([(b[0] - a[2]).total_seconds() / 60 for a, b in zip(rows, rows[1:])])
+    assert [r["session_regularity"] for r in got] == [pytest.approx(want)]
+
+
+def test_cuts_are_few_whatever_the_data(spark, obs):
+    for pieces in (1, 8, 64):
+        found = gaps.cut_points(obs, pieces).collect()
+        assert sum(len(r["cuts"]) for r in found) <= pieces
+        assert all(r["cuts"] == sorted(r["cuts"]) for r in found)
+    assert gaps.cut_points(obs.limit(0), 8).collect() == []
+
+
 def test_streaks_from_bits_equal_day_scaffold(obs):
     dense = scaffold.fill_missing_weeks(sessions.session_profile(obs, CFG), CFG)
     bits = engagement.longest_inactive_days(dense, CFG)
