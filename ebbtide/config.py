@@ -41,6 +41,17 @@ class WindowConfig:
     def pred_end(self) -> dt.date:
         return self._after(self.baseline_periods + self.obs_periods + self.pred_periods)
 
+    @property
+    def first_period(self) -> int:
+        """Number of the first baseline period; the observed ones are 1 and up."""
+        return 1 - self.baseline_periods
+
+    def period(self, number: int) -> tuple[dt.date, dt.date]:
+        """Window of a period, the baseline ones being 0 and below."""
+        if not self.first_period <= number <= self.obs_periods:
+            raise ValueError(f"no period {number}")
+        return self._after(self.baseline_periods + number - 1), self._after(self.baseline_periods + number)
+
     @property
     def baseline(self) -> tuple[dt.date, dt.date]:
         return self.data_start, self.obs_start

@@ -10,24 +10,38 @@ from ebbtide.functions import exprs as X
 from ebbtide.schema import KEYS
 
 
-def game_weeks(obs: DataFrame, cfg: WindowConfig) -> DataFrame:
+# Measures of a (user, week, game): column, from sessions, from counts of sessions.
+MEASURES = (
+    ("n_rows", "count(*)", "sum(n_rows)"),
+    ("game_sessions", "count(session_id)", "sum(game_sessions)"),
+    ("game_seconds", "sum(duration_s)", "sum(game_seconds)"),
+)
+
+
+def game_counts(obs: DataFrame) -> DataFrame:
+    """The measures per (user, week, game); sums that merge over parts of the sessions."""
+    return obs.groupBy(*KEYS, "game_id").agg(*[F.expr(f"{total} as {name}") for name, total, _ in MEASURES])
+
+
+def game_weeks(obs: DataFrame, cfg: WindowConfig, counted: bool = False) -> DataFrame:
     """One row per (user, week, game) with playtime, sessions and ``is_new``.
 
-    Sessions are counted per (user, game) with one column per week, so the first
-    week of a game is known in the same row and no self-join over earlier weeks
-    is needed. Sessions collapse on the map side before the shuffle.
+    Sessions, or rows of ``game_counts`` if ``counted``, are summed per (user, game) with
+    one column per week, so the first week of a game is known in the same row and no
+    self-join over earlier weeks is needed. They collapse on the map side before the shuffle.
     """
     weeks = range(1, cfg.obs_periods + 1)
     wide = obs.groupBy("user_id", "game_id").agg(
         F.min("week_num").alias("first_week"),
         *[
-            F.expr(f"{total} filter (where week_num = {w}) as {name}_{w}")
+            F.expr(f"{merged if counted else total} filter (where week_num = {w}) as {name}_{w}")
             for w in weeks
-            for name, total in (("rows", "count(*)"), ("sessions", "count(session_id)"), ("seconds", "sum(duration_s)"))
+            for name, total, merged in MEASURES
         ],
     )
-    cells = ", ".join(f"{w}, rows_{w}, sessions_{w}, seconds_{w}" for w in weeks)
-    by_week = f"stack({cfg.obs_periods}, {cells}) as (week_num, n_rows, game_sessions, game_seconds)"
+    names = [name for name, _, _ in MEASURES]
+    cells = ", ".join(f"{w}, " + ", ".join(f"{name}_{w}" for name in names) for w in weeks)
+    by_week = f"stack({cfg.obs_periods}, {cells}) as (week_num, {', '.join(names)})"
     return (
         wide.selectExpr("user_id", "game_id", "first_week", by_week)
         .filter("n_rows > 0")
@@ -60,7 +74,7 @@ def genre_weeks(games_played: DataFrame, games: DataFrame) -> DataFrame:
     )
 
 
-def game_profile(obs: DataFrame, games: DataFrame, cfg: WindowConfig) -> DataFrame:
+def game_profile(obs: DataFrame, games: DataFrame, cfg: WindowConfig, counted: bool = False) -> DataFrame:
     """Unique games, playtime share of the top game, genre entropy, share of new games.
 
     Only the entropy depends on the catalogue; what it lacks or repeats leaves the other
@@ -69,7 +83,7 @@ def game_profile(obs: DataFrame, games: DataFrame, cfg: WindowConfig) -> DataFra
     """
     c = F.col("genre_sessions").cast("double")
     weekly = (
-        genre_weeks(game_weeks(obs, cfg), games)
+        genre_weeks(game_weeks(obs, cfg, counted), games)
         .groupBy(*KEYS)
         .agg(
             F.sum("n_games").alias("unique_games_played"),

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from ebbtide.config import SplitConfig, WindowConfig
 from ebbtide.operators import audit, sequence, split
+from ebbtide.plans import periods
 from ebbtide.plans.dataset import build_datasets
-from ebbtide.plans.weekly import weekly_features
 from ebbtide.sources import sinks
-from ebbtide.sources.tables import FILES, Tables, read_parquet, read_tables, utc_instant
+from ebbtide.sources.tables import FILES, Tables, read_tables, utc_instant
+from ebbtide.sources.versions import Versions
 
 WEEKLY = "weekly_features.parquet"
 WEEKLY_CHECKS = "weekly_checks.parquet"
@@ -38,26 +39,37 @@ def session(name: str) -> SparkSession:
     )
 
 
-def features(tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig()) -> DataFrame:
-    """Write the weekly table and return it as read back.
+# Publications whose tables are kept, for readers that opened them before the last one.
+KEPT = 3
 
-    The row checks are observed while it is written; their verdicts lie beside it.
+
+def features(
+    tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig(), only: list[int] | None = None
+) -> DataFrame:
+    """Publish the weekly table and return it as read back.
+
+    ``only`` names the periods whose sessions have changed since the last run (0 and below
+    are those of the baseline); the sums of the others are taken over. The row checks
+    are observed while the table is written; their verdicts are published with it.
     """
-    path = f"{output_dir}/{WEEKLY}"
-    with sinks.Staging(tables.spark, output_dir) as stage:
-        weekly, watch = audit.observed(weekly_features(tables, cfg, stage=stage))
-        sinks.write_table(weekly, path)
-    sinks.write_table(audit.observed_verdicts(weekly, watch), f"{output_dir}/{WEEKLY_CHECKS}")
-    return read_parquet(tables.spark, path)
+    store = Versions(tables.spark, output_dir)
+    with store.publish() as draft:
+        fresh = only is None or WEEKLY not in draft.tables
+        periods.refresh(draft, tables, cfg, periods.all_periods(cfg) if fresh else only)
+        weekly, watch = audit.observed(periods.weekly_from_parts(draft, tables, cfg))
+        draft.write(weekly, WEEKLY)
+        draft.write(audit.observed_verdicts(weekly, watch), WEEKLY_CHECKS)
+    store.prune(KEPT)
+    return store.read(WEEKLY)[0]
 
 
 def dataset(
     tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig(), split_cfg: SplitConfig = SplitConfig()
 ) -> DataFrame:
-    """Write both dataset forms, one folder per split, and return the split report."""
-    spark = tables.spark
-    weekly = read_parquet(spark, f"{output_dir}/{WEEKLY}")
-    with sinks.Staging(spark, output_dir) as stage:
+    """Publish both dataset forms together, one folder per split, and return the split report."""
+    spark, store = tables.spark, Versions(tables.spark, output_dir)
+    (weekly,) = store.read(WEEKLY)
+    with sinks.Staging(spark, output_dir) as stage, store.publish() as draft:
         built = build_datasets(
             weekly,
             tables.users.select("user_id"),
@@ -66,18 +78,18 @@ def dataset(
             split_cfg,
             stage=stage,
         )
-        sinks.write_table(built.split, f"{output_dir}/{SPLIT}")
-        sinks.write_table(built.flat, f"{output_dir}/{FLAT}", partition_by="split")
-        sinks.write_table(built.sequence, f"{output_dir}/{SEQUENCE}", partition_by="split")
-    sinks.write_table(sequence.feature_names(spark), f"{output_dir}/{SEQUENCE_NAMES}")
-    return split.split_report(read_parquet(spark, f"{output_dir}/{SPLIT}"))
+        draft.write(built.split, SPLIT)
+        draft.write(built.flat, FLAT, partition_by="split")
+        draft.write(built.sequence, SEQUENCE, partition_by="split")
+        draft.write(sequence.feature_names(spark), SEQUENCE_NAMES)
+    store.prune(KEPT)
+    return split.split_report(store.read(SPLIT)[0])
 
 
 def validate(tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig()) -> DataFrame:
-    """Run the quality checks over the written tables."""
-    spark = tables.spark
-    weekly, flat, matrices, names, parts = (
-        read_parquet(spark, f"{output_dir}/{name}") for name in (WEEKLY, FLAT, SEQUENCE, SEQUENCE_NAMES, SPLIT)
+    """Run the quality checks over the published tables."""
+    weekly, flat, matrices, names, parts = Versions(tables.spark, output_dir).read(
+        WEEKLY, FLAT, SEQUENCE, SEQUENCE_NAMES, SPLIT
     )
     return audit.weekly_report(weekly, tables.users, cfg).unionByName(
         audit.dataset_report(flat, matrices, names, parts, tables.users, cfg)
@@ -96,13 +108,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("job", choices=["arrange", "features", "dataset", "validate"])
     parser.add_argument("raw_dir")
     parser.add_argument("output_dir")
+    parser.add_argument("--period", type=int, action="append", help="features: only this period has changed")
     args = parser.parse_args(argv)
     spark = session(f"ebbtide-{args.job}")
     tables = read_tables(spark, args.raw_dir)
     if args.job == "arrange":
         arrange(tables, args.output_dir)
     elif args.job == "features":
-        weekly = features(tables, args.output_dir)
+        weekly = features(tables, args.output_dir, only=args.period)
         weekly.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(weekly.columns)).alias("columns")).show()
     elif args.job == "dataset":
         dataset(tables, args.output_dir).show()

@@ -48,6 +48,14 @@ def weekly_features(
     the length of the window so far with ``strict_inactivity``.
     """
     active = diversity.new_game_trial_rate(active_weeks(tables, cfg, stage))
+    baseline = engagement.user_baseline(tables.sessions_between(cfg.baseline), cfg)
+    return completed(active, baseline, tables, cfg, strict_inactivity)
+
+
+def completed(
+    active: DataFrame, baseline: DataFrame, tables: Tables, cfg: WindowConfig, strict_inactivity: bool = False
+) -> DataFrame:
+    """The weekly table from the features of active weeks and the users' baseline."""
     dense = scaffold.fill_missing_weeks(active, cfg)
     zero = [f.name for f in schema.FEATURES if f.section != "payments" and f.when_absent == 0]
     dense = dense.fillna(0, subset=[c for c in zero if c in dense.columns])
@@ -55,7 +63,7 @@ def weekly_features(
     # In this order the windows of both steps merge into one.
     dense = engagement.longest_inactive_days(dense, cfg)
     dense = engagement.wow_change(dense)
-    dense = engagement.baseline_ratios(dense, engagement.user_baseline(tables.sessions_between(cfg.baseline), cfg))
+    dense = engagement.baseline_ratios(dense, baseline)
 
     per_user = payments.payment_features(tables.users, tables.sub_events, tables.payments, cfg)
     everyone = dense.join(per_user, "user_id", "full_outer")

@@ -14,6 +14,7 @@ from ebbtide.plans import jobs
 from ebbtide.plans.weekly import weekly_features
 from ebbtide.sources import sinks
 from ebbtide.sources.tables import FILES, read_parquet, read_tables, without_zone
+from ebbtide.sources.versions import Versions
 
 CFG = WindowConfig()
 
@@ -32,7 +33,7 @@ def folders(spark, tmp_path_factory):
 
 def test_features_job(spark, folders):
     raw, out, _ = folders
-    written = spark.read.parquet(f"{out}/{jobs.WEEKLY}")
+    written = stored(spark, out, jobs.WEEKLY)
     assert written.columns == ["user_id", "week_num", *schema.names()]
     direct = weekly_features(tables(spark), CFG)
     assert sorted(map(str, written.collect())) == sorted(map(str, direct.collect()))
@@ -41,29 +42,29 @@ def test_features_job(spark, folders):
 def test_dataset_job(spark, folders):
     _, out, report = folders
     assert (report["all"]["users"], report["all"]["churned"]) == (3, 2)
-    flat = spark.read.parquet(f"{out}/{jobs.FLAT}")
-    matrix = spark.read.parquet(f"{out}/{jobs.SEQUENCE}")
+    flat = stored(spark, out, jobs.FLAT)
+    matrix = stored(spark, out, jobs.SEQUENCE)
     assert len(flat.columns) == 45
     # One class of one user and one of two: everyone but one lands in test.
-    split = {r["user_id"]: r["split"] for r in spark.read.parquet(f"{out}/{jobs.SPLIT}").collect()}
+    split = {r["user_id"]: r["split"] for r in stored(spark, out, jobs.SPLIT).collect()}
     assert {r["user_id"]: r["split"] for r in flat.select("user_id", "split").collect()} == split
     assert {r["user_id"]: r["split"] for r in matrix.select("user_id", "split").collect()} == split
     assert sorted(split.values()) == ["test", "test", "train"]
-    names = spark.read.parquet(f"{out}/{jobs.SEQUENCE_NAMES}").first()["feature_names"]
+    names = stored(spark, out, jobs.SEQUENCE_NAMES).first()["feature_names"]
     assert names == schema.names()
 
 
 def test_one_folder_per_split(spark, folders):
     _, out, _ = folders
-    only_test = spark.read.parquet(f"{out}/{jobs.FLAT}/split=test")
+    only_test = spark.read.parquet(f"{Versions(spark, out).path(jobs.FLAT)}/split=test")
     assert only_test.count() == 2 and "split" not in only_test.columns
 
 
 def test_jobs_overwrite(spark, folders):
     raw, out, _ = folders
-    before = spark.read.parquet(f"{out}/{jobs.WEEKLY}").count()
+    before = stored(spark, out, jobs.WEEKLY).count()
     jobs.features(raw, out)
-    assert spark.read.parquet(f"{out}/{jobs.WEEKLY}").count() == before
+    assert stored(spark, out, jobs.WEEKLY).count() == before
 
 
 def test_validate_job(folders):
@@ -86,6 +87,10 @@ def test_validate_job_emits_every_check(folders):
     )
 
 
+def stored(spark, out, name):
+    return Versions(spark, out).read(name)[0]
+
+
 def broken_weekly(weekly):
     return weekly.union(weekly.limit(2)).filter("not (user_id = 'B' and week_num = 3)")
 
@@ -96,7 +101,7 @@ def verdicts(df) -> dict:
 
 def test_one_pass_over_the_weekly_table_equals_the_single_checks(spark, folders):
     raw, out, _ = folders
-    weekly = spark.read.parquet(f"{out}/{jobs.WEEKLY}")
+    weekly = stored(spark, out, jobs.WEEKLY)
     for df in (weekly, broken_weekly(weekly), weekly.limit(0)):
         once = verdicts(audit.weekly_checks(df, raw.users, CFG))
         single = checks.row_count(df, raw.users, CFG).union(checks.unique_key(df)).union(checks.weekly_rows(df))
@@ -112,7 +117,7 @@ def test_one_pass_over_the_weekly_table_equals_the_single_checks(spark, folders)
 def test_means_of_one_pass_equal_the_join(spark, folders):
     """Also with a user that the user table lists twice, under two personas."""
     raw, out, _ = folders
-    weekly = broken_weekly(spark.read.parquet(f"{out}/{jobs.WEEKLY}"))
+    weekly = broken_weekly(stored(spark, out, jobs.WEEKLY))
     users = raw.users.union(raw.users.limit(1).withColumn("persona", F.lit("regular")))
     means = [checks.Mean("weekly_session_count", p, w) for p in audit.PERSONAS for w in (None, 1, 3)]
     means += [checks.Mean("avg_latency", "hardcore"), checks.Mean("longest_inactive_days", "casual", 4)]
@@ -121,7 +126,7 @@ def test_means_of_one_pass_equal_the_join(spark, folders):
 
 
 def dataset_tables(spark, out):
-    return [spark.read.parquet(f"{out}/{name}") for name in (jobs.FLAT, jobs.SEQUENCE, jobs.SEQUENCE_NAMES, jobs.SPLIT)]
+    return [stored(spark, out, name) for name in (jobs.FLAT, jobs.SEQUENCE, jobs.SEQUENCE_NAMES, jobs.SPLIT)]
 
 
 def test_one_pass_over_the_datasets_equals_the_single_checks(spark, folders):
@@ -156,36 +161,37 @@ def test_one_pass_over_the_datasets_equals_the_single_checks(spark, folders):
 def test_validate_reads_each_table_once(spark, folders):
     """The weekly table once for all checks, besides what the medians read of it."""
     raw, out, _ = folders
-    weekly = spark.read.parquet(f"{out}/{jobs.WEEKLY}")
+    weekly = stored(spark, out, jobs.WEEKLY)
 
     def scans(df, name: str) -> int:
         return len(re.findall(rf"FileScan parquet [^\n]*/{name}", df._jdf.queryExecution().executedPlan().toString()))
 
-    report, medians = jobs.validate(raw, out), checks.norm_median(weekly)
-    assert scans(report, jobs.WEEKLY) - scans(medians, jobs.WEEKLY) == 1
-    for name in (jobs.FLAT, jobs.SEQUENCE, jobs.SEQUENCE_NAMES, jobs.SPLIT):
-        assert scans(report, name) == 1, name
-    assert scans(report, "users.parquet") == 2
+    with sinks.settings(spark, spark__sql__maxMetadataStringLength="2000"):
+        report, medians = jobs.validate(raw, out), checks.norm_median(weekly)
+        assert scans(report, jobs.WEEKLY) - scans(medians, jobs.WEEKLY) == 1
+        for name in (jobs.FLAT, jobs.SEQUENCE, jobs.SEQUENCE_NAMES, jobs.SPLIT):
+            assert scans(report, name) == 1, name
+        assert scans(report, "users.parquet") == 2
 
 
 def test_writing_the_weekly_table_leaves_its_row_checks(spark, folders):
     _, out, _ = folders
-    stored = verdicts(spark.read.parquet(f"{out}/{jobs.WEEKLY_CHECKS}"))
-    assert stored == verdicts(checks.weekly_rows(spark.read.parquet(f"{out}/{jobs.WEEKLY}")))
-    empty, watch = audit.observed(spark.read.parquet(f"{out}/{jobs.WEEKLY}").limit(0))
+    left = verdicts(stored(spark, out, jobs.WEEKLY_CHECKS))
+    assert left == verdicts(checks.weekly_rows(stored(spark, out, jobs.WEEKLY)))
+    empty, watch = audit.observed(stored(spark, out, jobs.WEEKLY).limit(0))
     empty.collect()
     assert all(v == (0, 0, True) for v in verdicts(audit.observed_verdicts(empty, watch)).values())
 
 
 def test_a_planted_leak_is_found(spark, folders):
     _, out, _ = folders
-    flat = spark.read.parquet(f"{out}/{jobs.FLAT}").drop("split")
-    stored = spark.read.parquet(f"{out}/{jobs.SEQUENCE_NAMES}")
-    planted = stored.select(F.array_append("feature_names", F.lit("persona")).alias("feature_names"))
+    flat = stored(spark, out, jobs.FLAT).drop("split")
+    kept = stored(spark, out, jobs.SEQUENCE_NAMES)
+    planted = kept.select(F.array_append("feature_names", F.lit("persona")).alias("feature_names"))
     verdict = lambda df: df.first()["passed"]
-    assert verdict(checks.leakage(flat, stored)) and verdict(checks.sequence_names(stored))
+    assert verdict(checks.leakage(flat, kept)) and verdict(checks.sequence_names(kept))
     assert not verdict(checks.leakage(flat, planted)) and not verdict(checks.sequence_names(planted))
-    assert not verdict(checks.leakage(flat.withColumn("persona", F.lit("x")), stored))
+    assert not verdict(checks.leakage(flat.withColumn("persona", F.lit("x")), kept))
 
 
 def test_no_staging_is_left(spark, folders):
@@ -206,7 +212,7 @@ def test_arranged_sessions_give_the_same_features(spark, folders, tmp_path):
 
 def test_column_pruned_read(spark, folders, tmp_path_factory):
     raw, out, _ = folders
-    df = read_parquet(spark, f"{out}/{jobs.WEEKLY}", ["user_id", "week_num"])
+    df = read_parquet(spark, Versions(spark, out).path(jobs.WEEKLY), ["user_id", "week_num"])
     assert df.columns == ["user_id", "week_num"]
 
 
