@@ -183,18 +183,22 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, pattern: str = public_tokenizers.PATTERN, kept: int = KEPT) -> None:
         self.vocabulary = vocabulary
         self.matches = regex.compile(pattern).findall
+        # Only of this pattern is known where no match goes on.
+        self.cuts_at_spaces = pattern == public_tokenizers.PATTERN
         self.kept = kept
+        # What is used goes from the older generation to the newer one, the rest goes with it.
         self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.parts) > self.kept:
-            self.parts.clear()
+            self.older, self.parts = self.parts, {}
         split, new = [], set()
         for text in texts:
             parts, unseen = self._split(text)
             split.append(parts)
             new |= unseen
-        self._learn(new)
+        self._learn(self._kept_before(new))
         get = self.parts.__getitem__
         return [np.frombuffer(b"".join(map(get, parts)), np.int32) for parts in split]
 
@@ -205,10 +209,13 @@ class Encoder:
         return ",".join(map(self.vocabulary.text.__getitem__, ids))
 
     def _split(self, text: str) -> tuple[list[str], set[str]]:
-        """Parts, each starting at a space, over whose ends no match goes; those not kept."""
+        """Parts over whose ends no match goes, each starting at a space, or else the matches
+        themselves; those not kept."""
         if not text:
             return [], set()
-        if "\0" not in text and not LOOSE.search(text):
+        if not self.cuts_at_spaces:
+            parts = self.matches(text)
+        elif "\0" not in text and not LOOSE.search(text):
             parts = text.replace(" ", "\0 ").split("\0")
             if not parts[0]:
                 del parts[0]
@@ -216,11 +223,21 @@ class Encoder:
             parts = [p for p in JOINT.split(text) if p]
         return parts, set(parts).difference(self.parts)
 
+    def _kept_before(self, new: set[str]) -> set[str]:
+        """Take over what the older generation has; returns what it lacks."""
+        had = new.intersection(self.older)
+        self.parts.update((p, self.older[p]) for p in had)
+        return new - had
+
     def _learn(self, new: set[str]) -> None:
         """Keep the ids of these parts and of the matches in them."""
-        found = {p: [p] if p.isalpha() or p[0] == " " and p[1:].isalpha() else self.matches(p) for p in new}
+        if self.cuts_at_spaces:
+            found = {p: [p] if p.isalpha() or p[0] == " " and p[1:].isalpha() else self.matches(p) for p in new}
+        else:
+            found = {p: [p] for p in new}
         ranks, short = self.vocabulary.ranks, []
-        for match in set(chain.from_iterable(found.values())).difference(self.parts):
+        matches = set(chain.from_iterable(found.values())).difference(self.parts)
+        for match in self._kept_before(matches):
             raw = match.encode()
             if (rank := ranks.get(raw)) is not None:
                 self.parts[match] = np.int32(rank).tobytes()

@@ -92,3 +92,22 @@ def test_runs_of_spaces_do_not_depend_on_earlier_texts():
     encoder = m.Encoder(m.Vocabulary(ranks))
     for text in ("x ", "a b", "a   b", "a\n   b  ", "  "):
         assert encoder.encode([text])[0].tolist() == plain.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("pattern", [r"\p{L}{1,3}|\s+|[^\s\p{L}]+", r"[^\r\n]+|[\r\n]+", r"\S+\s?|\s+"])
+def test_any_pattern_is_split_by_itself(pattern):
+    plain = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=RANKS, special_tokens={})
+    encoder = m.Encoder(m.Vocabulary(RANKS), pattern, kept=3)
+    for text in ("international business", "a b  c\n d", "don't  stop", "", " ", "x" * 100 + " \n\n y"):
+        assert encoder.encode([text])[0].tolist() == plain.encode_ordinary(text)
+
+
+def test_generations_of_the_cache():
+    """What is in use stays, what isn't goes with its generation, and the ids are the same."""
+    vocabulary = m.Vocabulary(RANKS)
+    encoder = m.Encoder(vocabulary, kept=5)
+    for n in range(30):
+        text = f"always here word{n} another{n}"
+        assert encoder.encode([text])[0].tolist() == PLAIN.encode_ordinary(text)
+        assert " here" in encoder.parts
+    assert len(encoder.parts) + len(encoder.older) < 40 and " word" not in encoder.parts
