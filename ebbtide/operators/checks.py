@@ -10,7 +10,7 @@ import operator
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide import schema
@@ -344,6 +344,33 @@ def sequence_cells(sequence: DataFrame, cfg: WindowConfig, *only: str) -> DataFr
 TOLERANCE = 0.005
 
 
+def schema_rows(spark: SparkSession, form: str, path: str) -> list[tuple[str, str, int, str, str]]:
+    """Form, split, position, name and type of the columns of each ``split=...`` folder, from
+    the footers of all its files."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(folder)
+    splits = sorted(name.removeprefix("split=") for name in (f.getPath().getName() for f in listed) if name.startswith("split="))
+    found = []
+    for split in splits:
+        df = spark.read.option("mergeSchema", "true").parquet(f"{path}/split={split}")
+        found += [(form, split, i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)]
+    return found
+
+
+SCHEMA_ROW = "form string, split string, position int, column_name string, data_type string"
+
+
+def split_schema(columns: DataFrame) -> DataFrame:
+    """Every split of a form has the same columns in the same order and types."""
+    splits = columns.groupBy("form").agg(F.count_distinct("split").alias("splits"))
+    cells = columns.groupBy("form", "position", "column_name", "data_type").agg(F.count(F.lit(1)).alias("n"))
+    sums = cells.join(splits, "form").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("n") != F.col("splits"), F.col("n"))).alias("bad")
+    )
+    return verdict(sums, "split_schema", F.col("n"), F.col("bad"))
+
+
 def stratification(split: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """Churn rates of the splits differ by less than ``tolerance``."""
     rates = split.groupBy("split").agg(F.avg("churn").alias("rate"))

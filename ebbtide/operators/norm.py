@@ -6,19 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions import exprs as X
+from ebbtide.operators import sketches
 from ebbtide.operators.quantiles import quantile_columns
 
 
+MEDIANS = {
+    "pop_median_session_count": "weekly_session_count",
+    "pop_median_playtime_min": "total_playtime_min",
+}
+
+
 def population_medians(totals: DataFrame) -> DataFrame:
     """Lower median of session count and playtime per week; one row per week."""
-    return quantile_columns(
-        totals,
-        ["week_num"],
-        {
-            "pop_median_session_count": ("weekly_session_count", "0.5"),
-            "pop_median_playtime_min": ("total_playtime_min", "0.5"),
-        },
-    )
+    return quantile_columns(totals, ["week_num"], {name: (c, "0.5") for name, c in MEDIANS.items()})
+
+
+def summarised_medians(totals: DataFrame) -> DataFrame:
+    """The same from mergeable summaries: one aggregate, ranks off by a bounded share."""
+    return sketches.median_columns(sketches.value_summaries(totals, ["week_num"], list(MEDIANS.values())), MEDIANS)
 
 
 def population_norm(active: DataFrame, medians: DataFrame) -> DataFrame:

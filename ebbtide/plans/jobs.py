@@ -1,6 +1,6 @@
 """Batch jobs: read the raw tables, compose the operators, write the results.
 
-``python -m ebbtide.plans.jobs arrange|features|dataset|validate <raw dir> <output dir>``
+``python -m ebbtide.plans.jobs inspect|arrange|features|overview|dataset|validate <raw dir> <output dir>``
 """
 
 from __future__ import annotations
@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.config import SplitConfig, WindowConfig
-from ebbtide.operators import audit, sequence, split
+from ebbtide.operators import audit, checks, profile, sequence, split
 from ebbtide.plans import periods
 from ebbtide.plans.dataset import build_datasets
 from ebbtide.sources import sinks
-from ebbtide.sources.tables import FILES, Tables, read_tables, utc_instant
+from ebbtide.sources.tables import FILES, SCHEMAS, Tables, read_parquet, read_tables, utc_instant
 from ebbtide.sources.versions import Versions
 
 WEEKLY = "weekly_features.parquet"
@@ -63,6 +63,12 @@ def features(
     return store.read(WEEKLY)[0]
 
 
+def overview(tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig()) -> DataFrame:
+    """Extent, distinct counts and percentiles of the sessions, from what was kept of them."""
+    store = Versions(tables.spark, output_dir)
+    return periods.overview(store.read_parts(periods.SUMMARY, periods.schemas(tables, cfg)[periods.SUMMARY]))
+
+
 def dataset(
     tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig(), split_cfg: SplitConfig = SplitConfig()
 ) -> DataFrame:
@@ -88,14 +94,32 @@ def dataset(
 
 def validate(tables: Tables, output_dir: str, cfg: WindowConfig = WindowConfig()) -> DataFrame:
     """Run the quality checks over the published tables."""
-    weekly, flat, matrices, names, parts = Versions(tables.spark, output_dir).read(
-        WEEKLY, FLAT, SEQUENCE, SEQUENCE_NAMES, SPLIT
-    )
-    return audit.weekly_report(weekly, tables.users, cfg).unionByName(
-        audit.dataset_report(flat, matrices, names, parts, tables.users, cfg)
+    spark, store = tables.spark, Versions(tables.spark, output_dir)
+    current = store.current
+    weekly, flat, matrices, names, parts = store.read(WEEKLY, FLAT, SEQUENCE, SEQUENCE_NAMES, SPLIT, current=current)
+    columns = [
+        row
+        for form, name in (("flat", FLAT), ("sequence", SEQUENCE))
+        for row in checks.schema_rows(spark, form, f"{output_dir}/{current[name]}")
+    ]
+    return (
+        audit.weekly_report(weekly, tables.users, cfg)
+        .unionByName(audit.dataset_report(flat, matrices, names, parts, tables.users, cfg))
+        .unionByName(checks.split_schema(spark.createDataFrame(columns, checks.SCHEMA_ROW)))
     )
 
 
+def inspect(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """Columns of the raw files that differ from the declared ones: name, stored and
+    declared type. Times of sessions may have several encodings and are not declared."""
+    rows = [
+        (name, *difference)
+        for name, declared in SCHEMAS.items()
+        for difference in profile.schema_differences(read_parquet(spark, f"{raw_dir}/{FILES[name]}.parquet"), declared)
+    ]
+    return spark.createDataFrame(rows, "table_name string, column_name string, stored string, declared string")
+
+
 def arrange(tables: Tables, output_dir: str) -> None:
     """Write the sessions ordered by start, so that the windows read few row groups, with
     their times as instants, the encoding that Spark prunes by."""
@@ -105,18 +129,23 @@ def arrange(tables: Tables, output_dir: str) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="ebbtide")
-    parser.add_argument("job", choices=["arrange", "features", "dataset", "validate"])
+    parser.add_argument("job", choices=["inspect", "arrange", "features", "overview", "dataset", "validate"])
     parser.add_argument("raw_dir")
     parser.add_argument("output_dir")
     parser.add_argument("--period", type=int, action="append", help="features: only this period has changed")
     args = parser.parse_args(argv)
     spark = session(f"ebbtide-{args.job}")
     tables = read_tables(spark, args.raw_dir)
-    if args.job == "arrange":
+    if args.job == "inspect":
+        inspect(spark, args.raw_dir).show(200, truncate=False)
+        profile.table_schemas(tables).show(200, truncate=False)
+    elif args.job == "arrange":
         arrange(tables, args.output_dir)
     elif args.job == "features":
         weekly = features(tables, args.output_dir, only=args.period)
         weekly.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(weekly.columns)).alias("columns")).show()
+    elif args.job == "overview":
+        overview(tables, args.output_dir).show(truncate=False)
     elif args.job == "dataset":
         dataset(tables, args.output_dir).show()
     else:

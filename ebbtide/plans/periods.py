@@ -1,10 +1,11 @@
 """The weekly table by way of sums that are kept per period.
 
-Three small tables hold what the sessions of a period add: the profile of each user-week, the
-counts of each user, week and game, and the sums of the baseline. Each period is a part that
-is computed from the sessions of that period alone. The weekly table follows from all parts
-without reading a session, so a period whose sessions have changed costs one scan of that
-period, and the parts of the others stay as they are.
+Small tables hold what the sessions of a period add: the profile of each user-week, the
+counts of each user, week and game, the sums of the baseline, and one row with mergeable
+summaries of all sessions. Each period is a part that is computed from the sessions of that
+period alone. The weekly table and the overview follow from all parts without reading a
+session, so a period whose sessions have changed costs the scans of that period, and the
+parts of the others stay as they are.
 """
 
 from __future__ import annotations
@@ -17,16 +18,20 @@ from pyspark.sql import types as T
 
 from ebbtide.config import WindowConfig
 from ebbtide.functions import exprs as X
-from ebbtide.operators import diversity, engagement, gaps, norm, scaffold
+from ebbtide.operators import diversity, engagement, gaps, norm, scaffold, sketches
 from ebbtide.operators import sessions as session_ops
 from ebbtide.plans.weekly import completed
 from ebbtide.schema import KEYS
 from ebbtide.sources.tables import Tables
 from ebbtide.sources.versions import Draft
 
-ACTIVITY, PLAYED, BASELINE = "activity", "played", "baseline"
+ACTIVITY, PLAYED, BASELINE, SUMMARY = "activity", "played", "baseline", "summary"
 PERIOD = "period"
 
+SPREAD = ["duration_min"]
+COUNTED = ["user_id", "game_id"]
+PERCENTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+
 
 def all_periods(cfg: WindowConfig) -> list[int]:
     return list(range(cfg.first_period, cfg.obs_periods + 1))
@@ -48,18 +53,43 @@ def activity(obs: DataFrame, cfg: WindowConfig) -> DataFrame:
     return session_ops.session_profile(obs, cfg).join(gaps.session_regularity(obs), list(KEYS), "left")
 
 
+def summary(sessions: DataFrame) -> DataFrame:
+    """One row per period: extent, and summaries of lengths, users and games."""
+    extent = sessions.groupBy(PERIOD).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("start_time").alias("first_time"), F.max("start_time").alias("last_time")
+    )
+    lengths = sketches.value_summaries(sessions, [PERIOD], SPREAD)
+    keys = sketches.key_summaries(sessions, [PERIOD], COUNTED)
+    return extent.join(lengths, PERIOD).join(keys, PERIOD)
+
+
+def overview(summaries: DataFrame) -> DataFrame:
+    """One row over all periods: sessions, their extent, about how many users and games, and
+    percentiles of the session length."""
+    one = F.lit(0).alias("all")
+    parts = summaries.select("*", one)
+    extent = parts.groupBy("all").agg(
+        F.sum("n_rows").alias("n_rows"), F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time")
+    )
+    counts = sketches.distinct_counts(parts, ["all"], COUNTED)
+    merged = sketches.merged_values(parts, ["all"], SPREAD)
+    spread = merged.select("all", *[sketches.quantile(c, p).alias(name) for c in SPREAD for name, p in PERCENTILES.items()])
+    return extent.join(counts, "all").join(spread, "all").drop("all")
+
+
 def sums(tables: Tables, cfg: WindowConfig, periods: list[int]) -> dict[str, tuple[DataFrame, list[int]]]:
     """The rows of each table for its periods among the given ones, numbered by period."""
     observed = [p for p in periods if p >= 1]
     past = [p for p in periods if p < 1]
-    made = {}
+    number = X.period_index(cfg.obs_start, F.col("start_time").cast("date"), cfg.period_days)
+    every = scaffold.with_duration(_sessions(tables, cfg, periods)).withColumn(PERIOD, number)
+    made = {SUMMARY: (summary(every), periods)}
     if observed:
         obs = scaffold.observe(_sessions(tables, cfg, observed), cfg)
         for name, df in ((ACTIVITY, activity(obs, cfg)), (PLAYED, diversity.game_counts(obs))):
             made[name] = df.withColumn(PERIOD, F.col("week_num")), observed
     if past:
-        number = X.period_index(cfg.obs_start, F.col("start_time").cast("date"), cfg.period_days)
-        made[BASELINE] = engagement.baseline_sums(_sessions(tables, cfg, past).withColumn(PERIOD, number), PERIOD), past
+        made[BASELINE] = engagement.baseline_sums(every.filter(F.col(PERIOD) < 1), PERIOD), past
     return made
 
 

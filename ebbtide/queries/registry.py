@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from ebbtide import schema
 from ebbtide.functions import exprs as X
 from ebbtide.operators import (
-    checks, diversity, engagement, flat, gaps, norm, payments, profile, scaffold, sequence, split,
+    checks, diversity, engagement, flat, gaps, norm, payments, profile, scaffold, sequence, sketches, split,
 )
 from ebbtide.operators import sessions as session_ops
 from ebbtide.queries import oracle
 from ebbtide.queries.base import Inputs, Query
+from ebbtide.sources import sinks
 
 K = "user_id week_num"
 CFG = Inputs.cfg
@@ -292,6 +293,17 @@ def _count_where(names, condition: str) -> str:
     return " + ".join(f"count(*) FILTER ({condition.format(c=c)})" for c in names)
 
 
+def _split_schema(q: Inputs):
+    """The footers of both forms as they are written, one folder per split."""
+    columns = []
+    with sinks.Staging(q.spark, sinks.ensure_checkpoint_dir(q.spark)) as stage:
+        for form, df in (("flat", q.flat), ("sequence", q.sequence)):
+            path = f"{stage.path}/{form}"
+            sinks.write_table(split.tagged(df, q.split), path, "split")
+            columns += checks.schema_rows(q.spark, form, path)
+    return checks.split_schema(q.spark.createDataFrame(columns, checks.SCHEMA_ROW))
+
+
 def _checks() -> list[Query]:
     n = CFG.obs_periods
     users = lambda q: q.tables.users
@@ -430,6 +442,10 @@ FROM (SELECT avg(weekly_session_count) FILTER (week_num = 1) AS rf, avg(weekly_s
                      "FROM (SELECT count(*) FILTER (value IS NULL OR isnan(value)) AS holes FROM seq_rows GROUP BY user_id)"),
             ("seq_rows",),
         ),
+        Query(
+            "dq_split_schema", VERDICT, _split_schema,
+            _verdict("split_schema", f"count(DISTINCT split) * {len(_flat_columns()) + 2 + 3}", "0", "FROM split"), ("split",),
+        ),
         Query(
             "dq_stratification", VERDICT, lambda q: checks.stratification(q.split),
             _verdict("stratification", "count(*)", "CASE WHEN max(r) - min(r) >= 0.005 THEN 1 ELSE 0 END",
@@ -542,6 +558,75 @@ def _extent_sql(table: str, time: str, *keys: str) -> str:
 LATE_PERIOD = 8
 
 
+# Columns of the tables, in order.
+TABLE_COLUMNS = {
+    "users": "user_id signup_date subscription_tier device_type region referral_source age_group gender persona",
+    "sessions": "session_id user_id game_id start_time end_time avg_latency_ms avg_fps total_frame_drops "
+    "disconnect_count avg_bitrate_mbps avg_jitter_ms packet_loss_rate exit_type",
+    "games": "game_id game_title genre publisher popularity_tier",
+    "sub_events": "event_id user_id event_date event_type",
+    "payments": "payment_id user_id payment_date amount_usd payment_type status",
+}
+
+
+def _schema_sql() -> str:
+    """Columns with the names that Spark has for their types."""
+    names = {"BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "DATE": "date", "TIMESTAMP": "timestamp_ntz"}
+    kind = " ".join(f"WHEN '{sql}' THEN '{name}'" for sql, name in names.items())
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {i} AS position, '{c}' AS column_name, "
+        f"CASE typeof(any_value({c})) {kind} ELSE typeof(any_value({c})) END AS data_type, count({c}) AS n_values FROM {table}"
+        for table, columns in TABLE_COLUMNS.items()
+        for i, c in enumerate(columns.split(), 1)
+    )
+
+
+def _median_sketches(q: Inputs):
+    """Weekly medians from summaries of four parts of the users."""
+    totals, by, columns = session_ops.weekly_totals(q.obs), ["week_num"], list(norm.MEDIANS.values())
+    parts = totals.withColumn("part", F.pmod(F.xxhash64("user_id"), F.lit(4)))
+    merged = sketches.merged_values(sketches.value_summaries(parts, [*by, "part"], columns), by, columns)
+    return sketches.rank_errors(totals, sketches.summarised_quantiles(merged, by, columns, [0.5]), by, columns)
+
+
+DURATION_PROBS = [0.01, 0.5, 0.95, 0.99]
+
+
+def _duration_sketches(q: Inputs):
+    """Percentiles of the session length of each week from summaries of its days."""
+    by, columns = ["week_num"], ["duration_min"]
+    days = sketches.value_summaries(q.obs, [*by, "date"], columns)
+    found = sketches.summarised_quantiles(sketches.merged_values(days, by, columns), by, columns, DURATION_PROBS)
+    return sketches.rank_errors(q.obs, found, by, columns)
+
+
+def _distinct_sketches(q: Inputs):
+    """Users and games of each week from summaries of its days."""
+    by, keys = ["week_num"], ["user_id", "game_id"]
+    found = sketches.distinct_counts(sketches.key_summaries(q.obs, [*by, "date"], keys), by, keys)
+    return sketches.count_errors(q.obs, found, by, keys)
+
+
+def _sketches() -> list[Query]:
+    medians = " UNION ALL ".join(
+        f"SELECT week_num, '{c}' AS metric, 0.5::DOUBLE AS p, count({c}) AS n, true AS within FROM patterns GROUP BY week_num"
+        for c in norm.MEDIANS.values()
+    )
+    durations = " UNION ALL ".join(
+        f"SELECT week_num, 'duration_min' AS metric, {p}::DOUBLE AS p, count(duration_min) AS n, true AS within FROM obs GROUP BY week_num"
+        for p in DURATION_PROBS
+    )
+    distinct = " UNION ALL ".join(
+        f"SELECT week_num, '{c}' AS key, count(DISTINCT {c}) AS n_distinct, true AS within FROM obs GROUP BY week_num"
+        for c in ("user_id", "game_id")
+    )
+    return [
+        Query("median_sketch_error", "week_num metric p:d n:i within", _median_sketches, medians, ("patterns",)),
+        Query("duration_sketch_error", "week_num metric p:d n:i within", _duration_sketches, durations, ("obs",)),
+        Query("distinct_sketch_error", "week_num key n_distinct:i within", _distinct_sketches, distinct, ("obs",)),
+    ]
+
+
 def _profiles() -> list[Query]:
     late = f"(SELECT *, {oracle._week(CFG.data_start, 'CAST(start_time AS DATE)')} AS w FROM sessions)"
     return [
@@ -553,6 +638,8 @@ def _profiles() -> list[Query]:
             ),
             ("users", "sessions", "games", "sub_events", "payments"),
         ),
+        Query("profile_schemas", "table_name position:i column_name data_type n_values:i",
+              lambda q: profile.table_schemas(q.tables), _schema_sql(), tuple(TABLE_COLUMNS)),
         _counts("users", "persona"),
         _counts("users", "subscription_tier", "tier"),
         _counts("users", "region"),
@@ -673,5 +760,5 @@ def _profiles() -> list[Query]:
 
 
 QUERIES: dict[str, Query] = {
-    q.name: q for q in (*_raw(), *_features(), *_datasets(), *_checks(), *_profiles())
+    q.name: q for q in (*_raw(), *_features(), *_datasets(), *_checks(), *_profiles(), *_sketches())
 }

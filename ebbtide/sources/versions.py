@@ -95,9 +95,7 @@ class Draft:
 
     def read_parts(self, table: str, schema: StructType) -> DataFrame:
         """All parts of a table, those just written among them."""
-        paths = [f"{self.store.root}/{path}" for name, path in sorted(self.tables.items()) if name.startswith(f"{table}/")]
-        spark = self.store.spark
-        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+        return self.store.read_parts(table, schema, self.tables)
 
 
 class Versions:
@@ -123,11 +121,17 @@ class Versions:
     def path(self, table: str) -> str:
         return f"{self.root}/{self.current[table]}"
 
-    def read(self, *tables: str) -> list[DataFrame]:
-        """Tables of one manifest."""
-        current = self.current
+    def read(self, *tables: str, current: dict[str, str] | None = None) -> list[DataFrame]:
+        """Tables of one manifest, the last one unless given."""
+        current = self.current if current is None else current
         return [read_parquet(self.spark, f"{self.root}/{current[table]}") for table in tables]
 
+    def read_parts(self, table: str, schema: StructType, current: dict[str, str] | None = None) -> DataFrame:
+        """All parts of a table of one manifest, the last one unless given."""
+        current = self.current if current is None else current
+        paths = [f"{self.root}/{path}" for name, path in sorted(current.items()) if name.startswith(f"{table}/")]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
     @contextmanager
     def publish(self) -> Iterator[Draft]:
         """A draft that becomes current when the block ends, and goes if it fails."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import shutil
 
 import pytest
 from fixture import tables
@@ -83,7 +84,7 @@ def test_validate_job_emits_every_check(folders):
         """row_count unique_key uniform_weeks never_null wow_first_week nulls_match_zero_weeks bounded
         non_negative norm_median group_order segment_decay segment_stability split_disjoint sequence_split_disjoint split_exhaustive
         cross_format sequence_shape sequence_no_null stratification label_match leakage sequence_names
-        flat_rows label_domain churn_rate_limits label_signal""".split()
+        flat_rows label_domain churn_rate_limits label_signal split_schema""".split()
     )
 
 
@@ -194,6 +195,48 @@ def test_a_planted_leak_is_found(spark, folders):
     assert not verdict(checks.leakage(flat.withColumn("persona", F.lit("x")), kept))
 
 
+def test_a_column_that_one_split_has_besides_is_found(spark, folders, tmp_path):
+    """Also in one of several files of a split, and a changed type."""
+    raw, out, _ = folders
+    flat, matrix = (stored(spark, out, name) for name in (jobs.FLAT, jobs.SEQUENCE))
+    columns = {}
+    for form, df in (("flat", flat), ("sequence", matrix)):
+        sinks.write_table(df, str(tmp_path / form), "split")
+        columns[form] = checks.schema_rows(spark, form, str(tmp_path / form))
+    good = spark.createDataFrame([*columns["flat"], *columns["sequence"]], checks.SCHEMA_ROW)
+    n = 2 * (len(flat.columns) - 1 + len(matrix.columns) - 1)
+    assert verdicts(checks.split_schema(good)) == {"split_schema": (n, 0, True)}
+    only_train = flat.filter("split = 'train'").drop("split")
+    only_train.withColumn("more", F.lit(1)).write.mode("append").parquet(str(tmp_path / "flat" / "split=train"))
+    rows = checks.schema_rows(spark, "flat", str(tmp_path / "flat"))
+    assert verdicts(checks.split_schema(spark.createDataFrame(rows, checks.SCHEMA_ROW)))["split_schema"][1:] == (1, False)
+    matrix.filter("split = 'train'").drop("split").withColumn("churn", F.col("churn").cast("string")).write.mode("overwrite").parquet(
+        str(tmp_path / "sequence" / "split=train")
+    )
+    rows = checks.schema_rows(spark, "sequence", str(tmp_path / "sequence"))
+    assert verdicts(checks.split_schema(spark.createDataFrame(rows, checks.SCHEMA_ROW)))["split_schema"][1:] == (2, False)
+
+
+def test_a_planted_column_fails_the_validate_job(spark, folders, tmp_path):
+    raw, out, _ = folders
+    copy = shutil.copytree(out, tmp_path / "out")
+    path = Versions(spark, str(copy)).path(jobs.FLAT)
+    extra = spark.read.parquet(f"{path}/split=train").withColumn("persona", F.lit("x"))
+    extra.write.mode("append").parquet(f"{path}/split=train")
+    assert not verdicts(jobs.validate(raw, str(copy)))["split_schema"][2]
+
+
+def test_declared_and_stored_schemas(spark, folders, tmp_path):
+    raw, out, _ = folders
+    for name, df in raw.named().items():
+        sinks.write_table(df, f"{tmp_path}/{FILES[name]}.parquet")
+    assert jobs.inspect(spark, str(tmp_path)).collect() == []
+    games = raw.games.drop("genre").withColumn("more", F.lit(1)).withColumn("publisher", F.lit(7))
+    sinks.write_table(games, f"{tmp_path}/{FILES['games']}.parquet")
+    found = [tuple(r) for r in jobs.inspect(spark, str(tmp_path)).collect()]
+    assert found == [("games", "genre", None, "string"), ("games", "publisher", "int", "string"), ("games", "more", "int", None)]
+
+
 def test_no_staging_is_left(spark, folders):
     import os
 

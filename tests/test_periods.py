@@ -77,12 +77,12 @@ def out(first_run, tmp_path):
 )
 def test_a_rerun_of_some_periods_equals_a_full_run(spark, out, changed, only):
     store = Versions(spark, out)
-    before = {name: folders(store, name) for name in (periods.ACTIVITY, periods.PLAYED, periods.BASELINE)}
+    before = {name: folders(store, name) for name in (periods.ACTIVITY, periods.PLAYED, periods.BASELINE, periods.SUMMARY)}
     source = with_sessions(spark, changed)
     got = jobs.features(source, out, only=only)
     assert rows(got) == rows(weekly_features(source, CFG))
     for name, parts in before.items():
-        own = [p for p in only if (p >= 1) == (name != periods.BASELINE)]
+        own = [p for p in only if name == periods.SUMMARY or (p >= 1) == (name != periods.BASELINE)]
         now = folders(store, name)
         touched = {f"{name}/{p}" for p in own}
         assert {k: v for k, v in now.items() if k not in touched} == {k: v for k, v in parts.items() if k not in touched}
@@ -96,12 +96,27 @@ def test_a_rerun_reads_the_sessions_of_its_period_alone(spark, out, monkeypatch)
     monkeypatch.setattr(Tables, "sessions_between", lambda self, window: (asked.append(window), whole(self, window))[1])
     with Versions(spark, out).publish() as draft:
         periods.refresh(draft, source, CFG, [2, 3, -1])
-        assert asked == [(CFG.period(2)[0], CFG.period(3)[1]), CFG.period(-1)]
+        assert set(asked) == {(CFG.period(2)[0], CFG.period(3)[1]), CFG.period(-1)}
+        asked.clear()
         weekly = periods.weekly_from_parts(draft, source, CFG)
         plan = weekly._jdf.queryExecution().optimizedPlan().toString()
         assert "start_time" not in plan and "session_id" not in plan
 
 
+def test_the_overview_needs_no_session(spark, out):
+    """Extent, distinct counts and percentiles merge over periods, also after a rerun."""
+    jobs.features(with_sessions(spark, [*BASE_SESSIONS, *LATE]), out, only=[3])
+    got = jobs.overview(tables(spark), out)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "session_id" not in plan and plan.count("summary") > 0
+    row = got.first()
+    inside = [r for r in [*BASE_SESSIONS, *LATE] if CFG.data_start <= r[3].date() < CFG.obs_end]
+    lengths = sorted((r[4] - r[3]).total_seconds() / 60 for r in inside)
+    assert (row["n_rows"], row["first_time"], row["last_time"]) == (len(inside), min(r[3] for r in inside), max(r[3] for r in inside))
+    assert (row["n_user_id"], row["n_game_id"]) == (3, 2)
+    assert row["p50"] == lengths[(len(lengths) + 1) // 2 - 1] and row["p99"] == lengths[-1]
+
+
 def test_without_a_first_run_all_periods_are_computed(spark, first_run, tmp_path):
     got = jobs.features(tables(spark), str(tmp_path), only=[2])
     assert rows(got) == rows(Versions(spark, str(first_run)).read(jobs.WEEKLY)[0])
