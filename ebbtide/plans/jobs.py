@@ -14,7 +14,7 @@ from ebbtide.config import SplitConfig, WindowConfig
 from ebbtide.operators import audit, checks, profile, sequence, split
 from ebbtide.plans import periods
 from ebbtide.plans.dataset import build_datasets
-from ebbtide.sources import sinks
+from ebbtide.sources import layout, sinks
 from ebbtide.sources.tables import FILES, SCHEMAS, Tables, read_parquet, read_tables, utc_instant
 from ebbtide.sources.versions import Versions
 
@@ -32,6 +32,7 @@ def session(name: str) -> SparkSession:
         SparkSession.builder.appName(name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.legacy.parquet.nanosAsLong", "true")
         .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
@@ -120,9 +121,13 @@ def inspect(spark: SparkSession, raw_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, column_name string, stored string, declared string")
 
 
-def arrange(tables: Tables, output_dir: str) -> None:
-    """Write the sessions ordered by start, so that the windows read few row groups, with
-    their times as instants, the encoding that Spark prunes by."""
+def arrange(tables: Tables, output_dir: str, buckets: int | None = None) -> None:
+    """Write the sessions with their times as instants, the encoding that Spark prunes by:
+    ordered by start, so that the windows read few row groups, or in ``buckets`` by user, so
+    that nothing per user needs an exchange of them (``layout`` reads these)."""
+    if buckets:
+        layout.write_by_user(tables.sessions, output_dir, buckets)
+        return
     times = {name: utc_instant(name) for name in ("start_time", "end_time")}
     sinks.write_time_ordered(tables.sessions.withColumns(times), f"{output_dir}/{FILES['sessions']}.parquet", "start_time")
 
@@ -133,14 +138,16 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("raw_dir")
     parser.add_argument("output_dir")
     parser.add_argument("--period", type=int, action="append", help="features: only this period has changed")
+    parser.add_argument("--buckets", type=int, help="arrange: by user, in so many buckets")
+    parser.add_argument("--arranged", help="folder with the sessions that arrange wrote by user")
     args = parser.parse_args(argv)
     spark = session(f"ebbtide-{args.job}")
-    tables = read_tables(spark, args.raw_dir)
+    tables = layout.read_by_user(spark, args.raw_dir, args.arranged) if args.arranged else read_tables(spark, args.raw_dir)
     if args.job == "inspect":
         inspect(spark, args.raw_dir).show(200, truncate=False)
         profile.table_schemas(tables).show(200, truncate=False)
     elif args.job == "arrange":
-        arrange(tables, args.output_dir)
+        arrange(tables, args.output_dir, args.buckets)
     elif args.job == "features":
         weekly = features(tables, args.output_dir, only=args.period)
         weekly.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(weekly.columns)).alias("columns")).show()

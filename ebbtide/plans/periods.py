@@ -10,6 +10,7 @@ parts of the others stay as they are.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -37,15 +38,15 @@ def all_periods(cfg: WindowConfig) -> list[int]:
     return list(range(cfg.first_period, cfg.obs_periods + 1))
 
 
-def _sessions(tables: Tables, cfg: WindowConfig, periods: list[int]) -> DataFrame:
-    """Sessions of these periods, neighbouring ones from one window."""
+def _windows(cfg: WindowConfig, periods: list[int]) -> list[tuple]:
+    """Windows of these periods, neighbouring ones in one."""
     windows: list[tuple] = []
     for start, end in map(cfg.period, sorted(set(periods))):
         if windows and windows[-1][1] == start:
             windows[-1] = windows[-1][0], end
         else:
             windows.append((start, end))
-    return reduce(DataFrame.unionByName, [tables.sessions_between(window) for window in windows])
+    return windows
 
 
 def activity(obs: DataFrame, cfg: WindowConfig) -> DataFrame:
@@ -79,17 +80,27 @@ def overview(summaries: DataFrame) -> DataFrame:
 
 def sums(tables: Tables, cfg: WindowConfig, periods: list[int]) -> dict[str, tuple[DataFrame, list[int]]]:
     """The rows of each table for its periods among the given ones, numbered by period."""
-    observed = [p for p in periods if p >= 1]
+
+    def of_users(numbers: list[int], compute: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, list[int]]:
+        parts = [tables.per_user(window, compute) for window in _windows(cfg, numbers)]
+        return reduce(DataFrame.unionByName, parts), numbers
+
+    def numbered(sessions: DataFrame) -> DataFrame:
+        day = F.col("start_time").cast("date")
+        return sessions.withColumn(PERIOD, X.period_index(cfg.obs_start, day, cfg.period_days))
+
+    def observed(compute: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+        return lambda sessions: compute(scaffold.observe(sessions, cfg)).withColumn(PERIOD, F.col("week_num"))
+
+    weeks = [p for p in periods if p >= 1]
     past = [p for p in periods if p < 1]
-    number = X.period_index(cfg.obs_start, F.col("start_time").cast("date"), cfg.period_days)
-    every = scaffold.with_duration(_sessions(tables, cfg, periods)).withColumn(PERIOD, number)
-    made = {SUMMARY: (summary(every), periods)}
-    if observed:
-        obs = scaffold.observe(_sessions(tables, cfg, observed), cfg)
-        for name, df in ((ACTIVITY, activity(obs, cfg)), (PLAYED, diversity.game_counts(obs))):
-            made[name] = df.withColumn(PERIOD, F.col("week_num")), observed
+    every = reduce(DataFrame.unionByName, map(tables.sessions_between, _windows(cfg, periods)))
+    made = {SUMMARY: (summary(numbered(scaffold.with_duration(every))), periods)}
+    if weeks:
+        made[ACTIVITY] = of_users(weeks, observed(lambda obs: activity(obs, cfg)))
+        made[PLAYED] = of_users(weeks, observed(diversity.game_counts))
     if past:
-        made[BASELINE] = engagement.baseline_sums(every.filter(F.col(PERIOD) < 1), PERIOD), past
+        made[BASELINE] = of_users(past, lambda sessions: engagement.baseline_sums(numbered(sessions), PERIOD))
     return made
 
 

@@ -14,41 +14,37 @@ from ebbtide.operators import sessions as session_ops
 from ebbtide.schema import KEYS
 from ebbtide.sources.tables import Tables
 
-Stage = Callable[[DataFrame, str], DataFrame]
 
-
-def active_weeks(tables: Tables, cfg: WindowConfig, stage: Stage | None = None) -> DataFrame:
+def active_weeks(tables: Tables, cfg: WindowConfig) -> DataFrame:
     """Session, quality, diversity and volatility features of weeks with sessions.
 
     Each part scans only its own columns of the sessions and ends in the same
     ``(user_id, week_num)`` partitioning, so the parts join without a shuffle.
     """
-    obs = scaffold.observe(tables.sessions_between(cfg.observation), cfg)
-    profile = session_ops.session_profile(obs, cfg)
-    if stage:
-        profile = stage(profile, "session_profile")
-    # Without a stored profile the medians read their two columns from the sessions.
-    totals = profile if stage else session_ops.weekly_totals(obs)
-    joined = profile.join(gaps.session_regularity(obs), list(KEYS), "left").join(
-        diversity.game_profile(obs, tables.games, cfg), list(KEYS), "left"
-    )
-    return norm.population_norm(joined, norm.population_medians(totals))
+
+    def of_users(compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        return tables.per_user(cfg.observation, lambda sessions: compute(scaffold.observe(sessions, cfg)))
+
+    def features(obs: DataFrame) -> DataFrame:
+        profile, games = session_ops.session_profile(obs, cfg), diversity.game_profile(obs, tables.games, cfg)
+        return profile.join(gaps.session_regularity(obs), list(KEYS), "left").join(games, list(KEYS), "left")
+
+    # The medians read their two columns from the sessions again.
+    return norm.population_norm(of_users(features), norm.population_medians(of_users(session_ops.weekly_totals)))
 
 
 def weekly_features(
     tables: Tables,
     cfg: WindowConfig = WindowConfig(),
-    stage: Stage | None = None,
     strict_inactivity: bool = False,
 ) -> DataFrame:
     """Two key columns and the features of ``schema.FEATURES`` in order.
 
-    ``stage(df, name)``, if given, stores an intermediate table that more than one
-    branch reads. A user without any observed session gets 0 inactive days, or
-    the length of the window so far with ``strict_inactivity``.
+    A user without any observed session gets 0 inactive days, or the length of the window
+    so far with ``strict_inactivity``. ``periods`` has the same table from stored sums.
     """
-    active = diversity.new_game_trial_rate(active_weeks(tables, cfg, stage))
-    baseline = engagement.user_baseline(tables.sessions_between(cfg.baseline), cfg)
+    active = diversity.new_game_trial_rate(active_weeks(tables, cfg))
+    baseline = tables.per_user(cfg.baseline, lambda sessions: engagement.user_baseline(sessions, cfg))
     return completed(active, baseline, tables, cfg, strict_inactivity)
 
 

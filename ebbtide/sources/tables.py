@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,8 @@ Window = tuple[dt.date, dt.date]
 class Tables:
     """The five tables, each opened when it is first used.
 
-    ``sessions_between``, if given, opens the sessions that start in a window.
+    ``session_parts``, if given, opens the sessions that start in a window, or all, as one
+    or more tables of which no two have a user in common.
     """
 
     names = ("users", "sessions", "games", "sub_events", "payments")
@@ -27,11 +28,11 @@ class Tables:
         self,
         spark: SparkSession,
         openers: Mapping[str, Callable[[], DataFrame]],
-        sessions_between: Callable[[Window], DataFrame] | None = None,
+        session_parts: Callable[[Window | None], list[DataFrame]] | None = None,
     ) -> None:
         self.spark = spark
         self._openers = openers
-        self._sessions_between = sessions_between
+        self._session_parts = session_parts
 
     @classmethod
     def of(cls, **frames: DataFrame) -> Tables:
@@ -58,12 +59,24 @@ class Tables:
     def payments(self) -> DataFrame:
         return self._openers["payments"]()
 
+    def with_sessions(self, parts: Callable[[Window | None], list[DataFrame]]) -> Tables:
+        """The same tables with the sessions in parts."""
+        return Tables(self.spark, {**self._openers, "sessions": lambda: reduce(DataFrame.unionByName, parts(None))}, parts)
+
+    def session_parts(self, window: Window) -> list[DataFrame]:
+        """Sessions that start in a half-open window of days, filtered in the scan whatever
+        encoding the file has; in tables that share no user."""
+        if self._session_parts:
+            return self._session_parts(window)
+        return [self.sessions.filter(X.ts_within("start_time", window))]
+
     def sessions_between(self, window: Window) -> DataFrame:
-        """Sessions that start in a half-open window of days, filtered in the scan
-        whatever encoding the file has."""
-        if self._sessions_between:
-            return self._sessions_between(window)
-        return self.sessions.filter(X.ts_within("start_time", window))
+        return reduce(DataFrame.unionByName, self.session_parts(window))
+
+    def per_user(self, window: Window, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """What ``compute`` makes of the sessions of a window, whose rows depend on the
+        sessions of a single user."""
+        return reduce(DataFrame.unionByName, map(compute, self.session_parts(window)))
 
     def named(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in self.names}
@@ -172,10 +185,10 @@ def read_tables(spark: SparkSession, input_dir: str) -> Tables:
     def sessions(df: DataFrame) -> DataFrame:
         return without_zone(df, "start_time", "end_time")
 
-    def sessions_between(window: Window) -> DataFrame:
+    def session_parts(window: Window | None) -> list[DataFrame]:
         df = stored("sessions")
-        return sessions(df.filter(stored_within(df, "start_time", window)))
+        return [sessions(df.filter(stored_within(df, "start_time", window)) if window else df)]
 
     openers = {name: (lambda name=name: stored(name)) for name in FILES}
     openers["sessions"] = lambda: sessions(stored("sessions"))
-    return Tables(spark, openers, sessions_between)
+    return Tables(spark, openers, session_parts)

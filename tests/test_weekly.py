@@ -9,7 +9,6 @@ from fixture import day, session_row, tables
 
 from ebbtide import WindowConfig, schema
 from ebbtide.plans.weekly import weekly_features
-from ebbtide.sources.sinks import Staging
 
 CFG = WindowConfig()
 
@@ -167,8 +166,3 @@ def test_baseline_ratio(edge):
     assert edge["D", 2]["session_count_vs_baseline"] == pytest.approx(3 / 0.25)
     assert edge["D", 1]["session_count_vs_baseline"] == 0
     assert edge["D", 2]["playtime_vs_baseline"] == pytest.approx((2491 / 60) / (31 / 4))
-
-
-def test_staging_does_not_change_the_result(spark, base, tmp_path):
-    with Staging(spark, str(tmp_path)) as stage:
-        assert by_user_week(weekly_features(tables(spark), CFG, stage=stage)) == base
