@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ebbtide.llm.graph import components
-from ebbtide.llm.shared import shared_path, small_batches, staged, table
+from ebbtide.llm.shared import shared_path, small_batches, staged, table, tidy
 
 SHINGLE = 5
 PERCENT = 75
@@ -228,7 +228,7 @@ def _nodes_and_counts(docs: DataFrame, doc_id: str, text: str, bits: int) -> tup
         return pa.table({"token": token, "df": df[many]})
 
     path = shared_path(docs.sparkSession, "nodes")
-    source.mapInArrow(count, sent).write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    source.mapInArrow(tidy(count), sent).write.option("parquet.block.size", ROW_GROUP).parquet(path)
     stored = docs.sparkSession.read.schema(sent).parquet(path)
     parcels = stored.where("bucket is not null").select("bucket", *names)
     found = parcels.groupBy("bucket").applyInArrow(add_up, "token long, df long")
@@ -298,7 +298,7 @@ def _index(docs: DataFrame, text: str, bits: int, held) -> DataFrame:
         return pa.concat_tables(parts)
 
     source = docs.select(F.col(text).cast("binary").alias("text"))
-    return source.mapInArrow(prefixes, sent).groupBy("bucket").applyInArrow(shared, kept)
+    return source.mapInArrow(tidy(prefixes), sent).groupBy("bucket").applyInArrow(shared, kept)
 
 
 def _fits(a: str, b: str) -> Column:
@@ -379,7 +379,7 @@ def _links(texts: DataFrame, pairs: DataFrame) -> DataFrame:
                     found[1].append(digest(b))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in found], ["a", "b"])
 
-    return both.mapInArrow(verify, "a binary, b binary")
+    return both.mapInArrow(tidy(verify), "a binary, b binary")
 
 
 def clusters(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -52,6 +54,21 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task. What it has freed goes back to the system at the
+    end, as a Python worker waits for its next task beside the heap of the executor."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # a C library without it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 Texts = list[bytes | None]
 
 
@@ -82,7 +99,7 @@ def map_texts(
             cells = [pa.array(v, k) for v, k in zip(made, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *cells], names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def ascii_lower(text: Column) -> Column:
