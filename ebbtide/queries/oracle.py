@@ -49,7 +49,7 @@ SELECT c_custkey AS user_id,
   ['M', 'F', 'other', 'undisclosed'][CAST((c_custkey // 7) % 4 AS INTEGER) + 1] AS gender,
   CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'hardcore' WHEN 'BUILDING' THEN 'regular'
     WHEN 'HOUSEHOLD' THEN 'about_to_churn' ELSE 'casual' END AS persona
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
     ),
     "sessions": (
         (),

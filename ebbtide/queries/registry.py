@@ -740,12 +740,13 @@ def _profiles() -> list[Query]:
               lambda q: profile.sessions_by_popularity(q.tables.sessions, q.tables.games),
               "SELECT popularity_tier, count(*) AS n FROM sessions JOIN games USING (game_id) GROUP BY 1", ("sessions", "games")),
         Query("event_day_stats", "event_type avg_day:d min_day:i max_day:i",
-              lambda q: profile.event_day_stats(q.tables.sub_events, CFG),
+              lambda q: profile.numeric_summary(
+                  q.tables.sub_events, "event_type", "event_id", X.days_from(CFG.data_start, "event_date"), "day"),
               f"SELECT event_type, avg(d) AS avg_day, min(d) AS min_day, max(d) AS max_day FROM "
               f"(SELECT event_type, date_diff('day', DATE '{CFG.data_start}', event_date) AS d FROM sub_events) GROUP BY 1",
               ("sub_events",)),
         Query("payment_type_stats", "payment_type n:i avg_amount:d total_amount:m",
-              lambda q: profile.payment_type_stats(q.tables.payments),
+              lambda q: profile.numeric_summary(q.tables.payments, "payment_type", "payment_id", F.col("amount_usd"), "amount"),
               "SELECT payment_type, count(payment_id) AS n, avg(amount_usd) AS avg_amount, sum(amount_usd) AS total_amount "
               "FROM payments GROUP BY 1", ("payments",)),
         Query(

@@ -57,8 +57,8 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = _source(spark, sf_dir, "region")
     key = F.col("c_custkey")
     return (
-        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select(
             key.alias("user_id"),
             F.date_add(F.lit("2023-01-01").cast("date"), (key % 365).cast("int")).alias("signup_date"),
