@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import zstandard
 from pyspark.sql import functions as F
 
 from ebbtide.llm import license_scan as m
@@ -80,3 +81,43 @@ def test_all_templates_are_compared():
     true[10], true[30] = "some", "other"
     scanner = m.Scanner({"Z": (" ".join(true),)} | near)
     assert [n.license for n in scanner.notices(" ".join(own))] == ["Z"]
+
+
+def common_words(a, b):
+    """Length of the longest common run of words in order, by the plain table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_ranking_against_plain_compression(documents):
+    """Savings of every template computed apart, and the wording compared by the plain
+    table of common words."""
+    scanner = m.Scanner(m.TEMPLATES)
+    blocks = {b for r in documents.collect() for b in scanner.blocks(r["text"])}
+    blocks |= {" ".join(texts[0].split()[k : k + 40]) for texts in m.TEMPLATES.values() for k in (0, 5, 12)}
+    told = 0
+    for block in sorted(blocks):
+        raw = block.lower().encode()
+        saved = {}
+        for name, texts in m.TEMPLATES.items():
+            for text in texts:
+                data = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                packed = zstandard.ZstdCompressor(level=m.LEVEL, dict_data=data, write_content_size=False, write_dict_id=False).compress(raw)
+                plain = zstandard.ZstdCompressor(level=m.LEVEL, write_content_size=False).compress(raw)
+                saved.setdefault(name, []).append((len(plain) - len(packed), m.words(text)))
+        found = [n for n, _ in scanner.candidates(block)]
+        assert [(-n.saved, n.license) for n in found] == sorted((-n.saved, n.license) for n in found)
+        own = m.words(block)
+        for n in found:
+            assert n.saved > 0
+            matching = [words for bytes_, words in saved[n.license] if bytes_ == n.saved]
+            assert matching, (n.license, n.saved, saved[n.license])
+            # No alignment of the words leaves fewer added ones.
+            assert len(n.added) >= min(len(own) - common_words(words, own) for words in matching)
+            assert len(n.missing) + len(n.added) <= m.DIFFERENT * len(own)
+        told += bool(found)
+    assert told >= len(m.TEMPLATES)

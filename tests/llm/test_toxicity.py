@@ -93,3 +93,99 @@ def test_features():
     assert row["hidden_density"] > 0 and row["second_person_nearness"] > 0 and row["capital_words"] > 0
     assert dict(zip(names, known.features(b"plain words"), strict=True))["lexicon_hits"] == 0
     assert known.features(None) == [0.0] * len(names)
+
+
+def plain_features(text, listed_terms):
+    """The thirteen features word by word, each from its definition."""
+    marks = """!"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"""
+    words = text.split()
+    if not words:
+        return [0.0] * 13
+    whole = {t for t in listed_terms if t[-1] != "*"} | set(m.INSULTS)
+    stems = [t[:-1] for t in listed_terms if t[-1] == "*"]
+    leet = dict(zip("013457@$!|+", "oieastasiit", strict=True))
+
+    def listed(word):
+        return word in whole or any(word.startswith(s) and len(s) in (4, 5, 6) for s in stems)
+
+    seeds, hits, hidden, second, capital, odd, single = [], [], [], [], [], [], []
+    for i, word in enumerate(words):
+        core = word.strip(marks)
+        low = core.lower()
+        letters = [c for c in core if c.isalpha()]
+        if low.isalpha():
+            if listed(low):
+                hits.append(i)
+            if low in m.INSULTS:
+                seeds.append(i)
+            if low in m.SECOND_PERSON:
+                second.append(i)
+            if len(core) > 2 and core == core.upper() and core != core.lower():
+                capital.append(i)
+            if len(core) == 1:
+                single.append(i)
+        elif letters and any(not c.isalpha() and c not in "-'’" for c in core):
+            odd.append(i)
+            if listed("".join(c for c in (leet.get(c, c) for c in low) if c.isalpha())):
+                hidden.append(i)
+    spelled, run = 0, []
+    for i in range(len(words) + 1):
+        if i in single:
+            run.append(words[i].strip(marks).lower())
+            continue
+        spelled += len(run) >= 4 and listed("".join(run))
+        run = []
+    found = sorted(hits + hidden)
+    near = [1 / (1 + min(abs(i - j) for j in second) / 5) for i in found] if second else []
+    raw = text.encode()
+    ascii_letters = [c for c in text if c.isascii() and c.isalpha()]
+    n = len(words)
+    return [
+        len(seeds) / n, len(found) / n, np.log(1 + len(found)), (len(hidden) + spelled) / n, sum(near) / len(near) if near else 0.0,
+        sum(c.isupper() for c in ascii_letters) / max(1, len(ascii_letters)), len(capital) / n, text.count("!") / n, text.count("?") / n,
+        sum(c in marks for c in text) / len(raw), (text.count("!!") + text.count("??") + text.count("***")) / n, len(odd) / n, np.log(1 + n),
+    ]
+
+
+def test_features_from_their_definitions(documents):
+    terms = ["zib*", "grob*", "fnordi*", "river", "house", "casa*", "und", "the"]
+    texts = [r["text"][:4000] for r in documents.where("doc_id % 7 = 0").collect()]
+    texts += ["", " ", "You ID10T you!! f o o l s t o p", "f o o l", "F O O L? you", "1d10t $cum", "!!! ***", "don't it-s x", "É STUPID Stupid", "gr0bular you",
+              "a b c d house h o u s e", "you river river you " * 30]
+    lexicon = m.Lexicon(terms)
+    for text in texts:
+        assert lexicon.features(text.encode()) == pytest.approx(plain_features(text, terms)), text[:80]
+    assert sum(f[1] > 0 for f in map(lexicon.features, map(str.encode, texts))) > 20
+
+
+def isotonic(x, y):
+    """Least-squares rising curve by pooling, at the distinct x."""
+    at = sorted(set(x))
+    pools = [[np.mean([b for a, b in zip(x, y, strict=True) if a == v]), sum(a == v for a in x), 1] for v in at]
+    i = 0
+    while i + 1 < len(pools):
+        if pools[i][0] > pools[i + 1][0] + 1e-15:
+            (a, n, k), (b, w, j) = pools[i], pools[i + 1]
+            pools[i : i + 2] = [[(a * n + b * w) / (n + w), n + w, k + j]]
+            i = max(0, i - 1)
+        else:
+            i += 1
+    return at, [mean for mean, _, k in pools for _ in range(k)]
+
+
+def test_scores_are_the_calibrated_ones(corpus, monkeypatch):
+    """The curve pooled by hand from the raw scores of the calibrating fold."""
+    docs, labels = corpus
+    noisy = labels.withColumn("toxic", F.when(F.col("doc_id") % 17 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    parts = {}
+    for tie in (0.0, 1.0, m.TIE):
+        monkeypatch.setattr(m, "TIE", tie)
+        parts[tie] = {r["doc"]: r["score"] for r in m.fitted(docs, noisy)(docs, row=F.col("doc_id")).collect()}
+    even, raw, score = parts[0.0], parts[1.0], parts[0.01]
+    truth = {r["doc_id"]: r["toxic"] for r in noisy.collect()}
+    fold = [i for i in raw if zlib.crc32(str(i).encode()) % 5 == 4]
+    at, curve = isotonic([raw[i] for i in fold], [truth[i] for i in fold])
+    assert 0 < min(c for c in curve if c) and len(set(curve)) > 2
+    for i in raw:
+        assert even[i] == pytest.approx(float(np.interp(raw[i], at, curve)), abs=1e-9)
+        assert score[i] == pytest.approx(0.99 * even[i] + 0.01 * raw[i])
