@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm import bpe, decontaminate, language_id, ngram_join, toxicity
-from ebbtide.llm.shared import ROW, staged, table
+from ebbtide.llm.shared import ROW, discard, finished, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after another; what a stage stores on the way goes with its end, and
+    its result once the next one's is written. The last result stays."""
+    docs, folders = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        before = folders
+        docs, folders = finished(spark, name, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
+        discard(spark, before)
     return docs

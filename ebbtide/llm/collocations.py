@@ -46,7 +46,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.shared import small_batches, staged, table
+from ebbtide.llm.shared import finished, small_batches, staged, table
 
 LEAST = 10
 TOP = 2000
@@ -328,7 +328,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collocations(table(spark, sf_dir, "documents"))
+    return finished(spark, "collocations", lambda: collocations(table(spark, sf_dir, "documents")))[0]
 
 
 SQL = r"""

@@ -44,7 +44,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.shared import staged, table
+from ebbtide.llm.shared import finished, staged, table
 
 POSITIVES, NEGATIVES = 5, 10
 LOW, HIGH = 30, 90  # percent of a positive's score between which negatives lie
@@ -332,7 +332,8 @@ def hard_negatives(df: DataFrame, is_anchor: Column, key: str = "vec_id", label:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
-    return hard_negatives(vectors.withColumn("label", moved), F.col("id") % 100 == 0)
+    labelled = vectors.withColumn("label", moved)
+    return finished(spark, "negatives", lambda: hard_negatives(labelled, F.col("id") % 100 == 0))[0]
 
 
 SQL = """

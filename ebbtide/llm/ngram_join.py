@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ebbtide.llm.graph import components
-from ebbtide.llm.shared import shared_path, small_batches, staged, table, tidy
+from ebbtide.llm.shared import finished, shared_path, small_batches, staged, table, tidy
 
 SHINGLE = 5
 PERCENT = 75
@@ -474,7 +474,7 @@ def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_components(table(spark, sf_dir, "documents"))
+    return finished(spark, "components", lambda: join_components(table(spark, sf_dir, "documents")))[0]
 
 
 SQL = r"""

@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ebbtide.sources.sinks import ensure_checkpoint_dir
+from ebbtide.sources.versions import Folder
 
 ROW = "doc"
 BATCH_ROWS = 2_000  # rows of whole texts that a Python worker holds at a time
@@ -23,9 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Folders of the tables that are stored while a result is computed, innermost last.
+_HELD: ContextVar[list[str] | None] = ContextVar("_HELD", default=None)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the driver and all executors share."""
-    return f"{ensure_checkpoint_dir(spark)}/ebbtide-{uuid.uuid4().hex}/{name}"
+    folder = f"{ensure_checkpoint_dir(spark)}/ebbtide-{uuid.uuid4().hex}"
+    if (held := _HELD.get()) is not None:
+        held.append(folder)
+    return f"{folder}/{name}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -36,6 +45,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def finished(spark: SparkSession, name: str, compute: Callable[[], DataFrame]) -> tuple[DataFrame, list[str]]:
+    """Store what ``compute`` returns, then delete the tables that were stored on the way.
+    The result, and the folder it lies in, for whoever reads it last to delete."""
+    held, kept = [], []
+    outer = _HELD.set(held)
+    try:
+        df = compute()
+        _HELD.set(kept)
+        return staged(df, name), kept
+    finally:
+        _HELD.reset(outer)
+        if (before := _HELD.get()) is not None:
+            before += kept
+        discard(spark, held)
+
+
+def discard(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        Folder(spark, folder).delete(folder)
+
+
 def packed(df: DataFrame) -> Column:
     """All columns of ``df`` as one struct, so that no name can clash with a result."""
     return F.struct(*[df[f"`{c}`"] for c in df.columns]).alias(ROW)
