@@ -2,8 +2,8 @@
 
 A fixed rule names a host, which covers its subdomains, and a path prefix; of those that
 fit, the longest decides. The URLs that a fixed rule judges are the labels: Spark's
-FP-growth mines combinations of URL tokens with a verdict, pruned by support and
-confidence, then by redundancy. The remaining rules match through an inverted index: a
+FP-growth mines combinations of up to three URL tokens with a verdict, pruned by support
+and confidence, then by redundancy. The remaining rules match through an inverted index: a
 rule stands under one of its tokens, and a URL that has this token is tested for the
 others. Built-in functions and FP-growth only.
 
@@ -18,6 +18,7 @@ decides; repeated rows are judged alike; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -91,16 +92,57 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.when(has, F.array_distinct(F.concat(*parts))).otherwise(F.array().cast("array<string>"))
 
 
+def merged_tokens(labelled: DataFrame, least: int) -> DataFrame:
+    """Rows ``(item, members)``: tokens of at least ``least`` rows, those that always occur
+    together as one item, named by its first member.
+
+    Such tokens have equal counts and equal sums of the hashes of their rows' token sets.
+    """
+    row = [F.xxhash64("tokens", F.lit(seed)).cast("decimal(20,0)").alias(f"h{seed}") for seed in (1, 2)]
+    posted = labelled.select(*row, F.explode("tokens").alias("token"))
+    counts = posted.groupBy("token").agg(F.count("*").alias("n"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
+    groups = counts.where(F.col("n") >= least).groupBy("n", "h1", "h2").agg(F.array_sort(F.collect_list("token")).alias("members"))
+    return groups.select(F.col("members")[0].alias("item"), "members")
+
+
+def itemised(labelled: DataFrame, groups: DataFrame) -> DataFrame:
+    """The baskets: the items of each row's tokens and its verdict."""
+    posted = labelled.select("tokens").distinct().withColumn("token", F.explode("tokens"))
+    named = groups.select("item", F.explode("members").alias("token"))
+    items = posted.join(named, "token").groupBy("tokens").agg(F.collect_set("item").alias("found"))
+    verdict = F.array(F.concat(F.lit("="), F.col("verdict")))
+    found = F.coalesce("found", F.array().cast("array<string>"))
+    return labelled.join(items, "tokens", "left").select(F.concat(found, verdict).alias("items"))
+
+
+def spelled_out(rules: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rules over tokens from rules over items: one for each choice of a member of each."""
+    own = [c for c in rules.columns if c != "tokens"]
+    parts = rules.select(F.col("tokens").alias("items"), *own, F.posexplode("tokens").alias("pos", "item"))
+    listed = parts.join(groups, "item").groupBy("items", *own).agg(F.sort_array(F.collect_list(F.struct("pos", "members"))).alias("parts"))
+    empty = F.array(F.array().cast("array<string>"))
+
+    def extended(chosen: Column, part: Column) -> Column:
+        return F.flatten(F.transform(chosen, lambda c: F.transform(part["members"], lambda m: F.array_append(c, m))))
+
+    choices = F.explode(F.aggregate("parts", empty, extended)).alias("choice")
+    return listed.select(choices, *own).select(F.array_sort("choice").alias("tokens"), *own)
+
+
 def mine(
     labelled: DataFrame, min_support: float = 0.005, min_confidence: float = 0.8, max_tokens: int = 3
 ) -> DataFrame:
-    """Rules ``(tokens, verdict, confidence, support)`` from rows ``(tokens, verdict)``.
+    """Rules ``(tokens, verdict, confidence, support)`` from rows ``(tokens, verdict)``, of at
+    most ``max_tokens`` tokens each.
 
     ``min_support`` bounds the number of frequent tokens and so of rules, whatever the
     size of the table. A rule goes if another with fewer of its tokens is as confident.
+    Tokens that always occur together are one item while mining, as every combination of
+    them is as frequent as one of them: a long URL that is repeated costs what a short one does.
     """
-    baskets = labelled.select(F.array_union("tokens", F.array(F.concat(F.lit("="), F.col("verdict")))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    labelled = staged(labelled, "labelled")
+    groups = staged(merged_tokens(labelled, math.ceil(min_support * labelled.count())), "items")
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(itemised(labelled, groups))
     rules = model.associationRules.where(
         F.col("consequent")[0].isin(*VERDICT_TOKENS)
         & (F.size("antecedent") <= max_tokens)
@@ -120,9 +162,10 @@ def mine(
         & (F.col("sure") >= F.col("confidence"))
     )
     keyed = rules.withColumn("key", F.explode("tokens"))
-    return keyed.join(short.withColumn("key", F.col("fewer")[0]), "key", "left").groupBy(*rules.columns).agg(
+    left = keyed.join(short.withColumn("key", F.col("fewer")[0]), "key", "left").groupBy(*rules.columns).agg(
         F.coalesce(F.max(redundant), F.lit(False)).alias("redundant")
     ).where("not redundant").drop("redundant")
+    return spelled_out(left, groups)
 
 
 def matched(token_sets: DataFrame, rules: DataFrame, bound: int = 100_000) -> DataFrame:

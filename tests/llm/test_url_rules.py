@@ -83,3 +83,40 @@ def test_empty_table_and_no_labels(spark):
 def test_no_python_on_the_main_path(spark, sf_dir):
     plan = m.query(spark, sf_dir)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def labelled(spark, baskets):
+    return spark.createDataFrame([(sorted(t), v) for t, v in baskets], "tokens array<string>, verdict string")
+
+
+def test_rules_over_merged_tokens_equal_counting(spark):
+    """Tokens a, b always occur together, and so do c, d, e; the rules are those of counting
+    every combination, but for redundant ones."""
+    baskets = [("ab", "block")] * 6 + [("abx", "block")] * 3 + [("cdey", "allow")] * 5 + [("cdex", "block")] * 2 + [("abcde", "allow")] * 4
+    baskets += [("x", "allow")] * 3 + [("", "block")] * 2
+    df = labelled(spark, baskets)
+    items = {tuple(r["members"]) for r in m.merged_tokens(df, 2).collect()}
+    assert items == {("a", "b"), ("c", "d", "e"), ("x",), ("y",)}
+    counts, joint = defaultdict(int), defaultdict(int)
+    for tokens, verdict in baskets:
+        for k in (1, 2, 3):
+            for c in combinations(sorted(tokens), k):
+                counts[c] += 1
+                joint[c, verdict] += 1
+    kept = {(c, v): (round(j / counts[c], 9), round(j / len(baskets), 9)) for (c, v), j in joint.items() if j >= 2 and j / counts[c] >= 0.5}
+    needed = {
+        (c, v): s for (c, v), s in kept.items()
+        if not any(set(d) < set(c) and w == v and t[0] >= s[0] for (d, w), t in kept.items())
+    }
+    got = {(tuple(r["tokens"]), r["verdict"]): (r["confidence"], r["support"]) for r in m.mine(df, 2 / len(baskets), 0.5).collect()}
+    assert got == needed
+
+
+def test_a_repeated_long_url_ends(spark):
+    """Forty copies of a URL with thirty parameters among ordinary ones."""
+    rows = [(i, f"http://a{i % 40}.example.org/{'es' if i % 3 else 'en'}/p{i % 7}?q={i}") for i in range(2000)]
+    query = "&".join(f"{chr(97 + k % 26)}{'x' * (1 + k // 26)}=1" for k in range(30))
+    rows += [(10_000 + i, f"http://shop.com/de/item?{query}") for i in range(40)]
+    rows += [(20_000, "http://shop.net/item?dx=2"), (20_001, "http://b.net/?q=1")]
+    got = {r["page_id"]: r["verdict"] for r in m.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got[10_000] == "block" and got[20_000] == "block"
