@@ -11,7 +11,7 @@ from fixture import tables
 from pyspark.sql import functions as F
 
 from ebbtide import SplitConfig, WindowConfig, schema
-from ebbtide.operators import checks, flat, labels, sequence, split
+from ebbtide.operators import audit, checks, flat, labels, sequence, split
 from ebbtide.plans.weekly import weekly_features
 
 CFG = WindowConfig()
@@ -123,7 +123,7 @@ def verdicts(df):
 
 
 def test_checks_pass_on_good_data(raw, weekly):
-    got = verdicts(checks.weekly_report(weekly, raw.users, CFG))
+    got = verdicts(audit.weekly_report(weekly, raw.users, CFG))
     assert got["row_count"] == (12, 0, True)
     assert got["unique_key"] == (12, 0, True)
     # Three users say nothing about the segments.
@@ -134,7 +134,7 @@ def test_checks_pass_on_good_data(raw, weekly):
 
 def test_checks_find_errors(raw, weekly):
     broken = weekly.unionByName(weekly.filter("user_id = 'A' and week_num = 1"))
-    got = verdicts(checks.weekly_report(broken, raw.users, CFG))
+    got = verdicts(audit.weekly_report(broken, raw.users, CFG))
     assert got["row_count"][1:] == (1, False)
     assert got["unique_key"][1:] == (1, False)
     assert not got["uniform_weeks"][2]
