@@ -289,3 +289,32 @@ def test_time_ordered_write_prunes(spark, tmp_path):
 
 def test_checkpoint_folder_is_the_session_s(spark):
     assert sinks.ensure_checkpoint_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_command_line(spark, folders, tmp_path, capsys):
+    raw, _, _ = folders
+    for name, df in raw.named().items():
+        sinks.write_table(df, f"{tmp_path}/raw/{FILES[name]}.parquet")
+    raw_dir, arranged, out = (f"{tmp_path}/{n}" for n in ("raw", "arranged", "out"))
+    # The session of the tests keeps its own settings.
+    with sinks.settings(spark, **{k: spark.conf.get(k.replace("__", ".")) for k in SESSION_SETTINGS}):
+        jobs.main(["inspect", raw_dir, out])
+        jobs.main(["arrange", raw_dir, arranged, "--buckets", "4"])
+        jobs.main(["features", raw_dir, out, "--arranged", arranged])
+        jobs.main(["features", raw_dir, out, "--period", "2", "--period", "-1"])
+        jobs.main(["overview", raw_dir, out])
+        jobs.main(["dataset", raw_dir, out])
+        jobs.main(["validate", raw_dir, out])
+    said = capsys.readouterr().out
+    assert "start_time" in said and "n_game_id" in said and "split_schema" in said
+    assert rounded(stored(spark, out, jobs.WEEKLY)) == rounded(stored(spark, folders[1], jobs.WEEKLY))
+
+
+SESSION_SETTINGS = [
+    name.replace(".", "__")
+    for name in ("spark.sql.requireAllClusterKeysForCoPartition", "spark.sql.legacy.parquet.nanosAsLong", "spark.sql.parquet.outputTimestampType")
+]
+
+
+def rounded(df) -> list:
+    return sorted(str([f"{v:.9g}" if isinstance(v, float) else v for v in r]) for r in df.collect())
